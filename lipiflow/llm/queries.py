@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from lipiflow.llm import exact_dedup
+from lipiflow.llm import exact_dedup, license_scan, line_dedup, toxicity
 
 
 def queries() -> dict:
-    return {"op10_exact_dedup": exact_dedup.query}
+    return {
+        "op5_line_dedup": line_dedup.query,
+        "op8_toxicity": toxicity.query,
+        "op9_license_scan": license_scan.query,
+        "op10_exact_dedup": exact_dedup.query,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": exact_dedup.SQL}
+    return {
+        "op5_line_dedup": line_dedup.SQL,
+        "op9_license_scan": license_scan.SQL,
+        "op10_exact_dedup": exact_dedup.SQL,
+    }
