@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: A table of at most this many rows may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 50_000
+#: The same for tables of one id and at most one number, about 32 bytes a row in memory.
+BROADCAST_IDS = 300_000
 #: Keys holding over 1/HOT_PARTS of all rows are joined by broadcast.  By the
 #: pigeonhole principle there are fewer than HOT_PARTS of them, whatever the data.
 HOT_PARTS = 1_000
@@ -71,6 +73,17 @@ def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "lef
     return left.join(F.broadcast(right) if few else right, on, how)
 
 
+def join_by_size(rows: DataFrame, table: DataFrame, key: str, how: str) -> DataFrame:
+    """Join texts to a stage table of ids: broadcast up to BROADCAST_IDS rows, shuffled beyond."""
+    few = table.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(table) if few else table, key, how)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows of these ids; rows of a null id stay."""
+    return join_by_size(docs, stage(ids.distinct(), "dropped-ids"), key, "left_anti")
+
+
 def join_skewed(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, spread: Column) -> DataFrame:
     """Left join ``rows`` to ``table`` (unique ``key``) when a few keys hold most rows.
 

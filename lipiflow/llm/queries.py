@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lipiflow.llm import exact_dedup, language_id, license_scan, line_dedup, mixing, secret_scan, token_store, toxicity
+from lipiflow.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, mixing, secret_scan, simhash_dedup, token_store, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_language_id": language_id.query,
         "op2_source_mixing": mixing.query,
+        "op3_decontamination": decontamination.query,
+        "op4_simhash_dedup": simhash_dedup.query,
         "op5_line_dedup": line_dedup.query,
         "op6_token_store": token_store.query,
         "op7_secret_scan": secret_scan.query,
