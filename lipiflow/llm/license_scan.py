@@ -51,67 +51,79 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))
 
 
-def template_grams() -> list[tuple[str, int, str, bool, int, int]]:
-    """(label, template position, k-gram, is a phrase, voting k-grams, words)."""
-    rows = []
+def templates() -> list[tuple[str, bool, list[tuple[int, str]], int]]:
+    """(label, is a phrase, voting k-grams with their positions, words); a template has at most 64 words."""
+    out = []
     for table, phrase in ((PHRASES, True), (TEXTS, False)):
         for text, label in table.items():
             w = text.split()
             grams = [(i, w[i : i + K]) for i in range(len(w) - K + 1)]
-            grams = [(i, g) for i, g in grams if phrase or not set(g) <= set(COMMON_WORDS)]
-            rows += [(label, i, " ".join(g), phrase, len(grams), len(w)) for i, g in grams]
-    return rows
+            out.append((label, phrase, [(i, " ".join(g)) for i, g in grams if phrase or not set(g) <= set(COMMON_WORDS)], len(w)))
+    return out
 
 
-def _templates(spark: SparkSession) -> DataFrame:
+def _of(tpl: Column, values: list) -> Column:
+    """A property of template number ``tpl``."""
+    return F.element_at(F.array(*map(F.lit, values)), tpl + 1)
+
+
+def _grams(spark: SparkSession) -> DataFrame:
     """A few hundred rows, whatever the corpus; one more stands for the mark that ends each text."""
-    rows = spark.createDataFrame(template_grams(), "label string, t int, gram string, phrase boolean, grams int, words int")
-    rows = rows.withColumn("_hash", F.xxhash64(F.split("gram", " ")[0], F.split("gram", " ")[1])).drop("gram")
-    end = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name != "_hash"], F.xxhash64(F.lit("end of text")).alias("_hash"))
-    return rows.unionByName(end)
+    rows = [(n, i, *gram.split()) for n, (_, _, grams, _) in enumerate(templates()) for i, gram in grams]
+    rows = spark.createDataFrame(rows, "tpl int, t int, a string, b string").select("tpl", "t", F.xxhash64("a", "b").alias("_hash"))
+    return rows.union(spark.range(1).select(F.lit(-1), F.lit(0), F.xxhash64(F.lit("end of text"))))
 
 
 def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per verified span, and one with a null label per text.
+    """One row per verified span, and one of template -1 per text.
 
-    Columns: _row (tells repeated rows apart), id, n_words, label, phrase, start
-    and end word (end exclusive), cover (part of the template's k-grams found).
-    Null and empty texts have no words.  Other columns of ``docs`` are ignored.
+    Columns: _row (tells repeated rows apart), id, n_words, tpl (number in
+    ``templates()``), start and end word (end exclusive), cover (part of the
+    template's voting k-grams found).  Null and empty texts have no words.  Other
+    columns of ``docs`` are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), words_of(F.col(text_col)).alias("_words"))
     rows = rows.withColumn("n_words", F.size("_words"))
     grams = F.transform(F.slice("_words", 1, F.greatest(F.col("n_words") - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(F.col("_words"), i + 1)))
     grams = F.concat(grams, F.array(F.xxhash64(F.lit("end of text"))))
     rows = rows.select("_row", "_id", "n_words", F.posexplode(grams).alias("_p", "_hash"))
-    votes = rows.join(F.broadcast(_templates(docs.sparkSession)), "_hash")
-    votes = votes.filter("label is not null or _p = greatest(n_words - 1, 0)")
-    votes = votes.withColumn("_diag", F.col("_p") - F.col("t"))
-
-    votes = votes.repartition("_row")
-    keys = ["_row", "_id", "n_words", "label", "phrase", "grams", "words"]
-    diags = votes.groupBy(*keys, "_diag").agg(F.collect_set("t").alias("_t"))
-    w = Window.partitionBy("_row", "label").orderBy("_diag")
-    apart = F.coalesce(F.col("_diag") - F.lag("_diag").over(w) > F.when(F.col("phrase"), 0).otherwise(GAP), F.lit(False))
-    diags = diags.withColumn("_apart", apart.cast("int")).withColumn("_span", F.sum("_apart").over(w))
-    spans = diags.groupBy(*keys, "_span").agg(F.min("_diag").alias("start"), (F.max("_diag") + F.first("words")).alias("end"), F.size(F.array_distinct(F.flatten(F.collect_list("_t")))).alias("_found"))
-    spans = spans.withColumn("cover", F.col("_found") / F.col("grams"))
-    spans = spans.filter((F.col("label").isNull()) | (F.col("cover") >= F.when(F.col("phrase"), 1.0).otherwise(MIN_COVER)))
-    return spans.select("_row", F.col("_id").alias(id_col), "n_words", "label", "phrase", F.greatest("start", F.lit(0)).cast("long").alias("start"), F.col("end").cast("long"), "cover")
+    votes = rows.join(F.broadcast(_grams(docs.sparkSession)), "_hash")
+    votes = votes.filter("tpl >= 0 or _p = greatest(n_words - 1, 0)")
+
+    # Votes by diagonal; which template positions voted is kept as bits.
+    known = templates()
+    votes = votes.select("_row", "_id", "n_words", "tpl", F.when(F.col("tpl") >= 0, F.col("_p") - F.col("t")).otherwise(0).alias("_diag"), F.expr("shiftleft(1L, t)").alias("_bit"))
+    keys = ["_row", "_id", "n_words", "tpl"]
+    diags = votes.repartition("_row").groupBy(*keys, "_diag").agg(F.bit_or("_bit").alias("_bits"))
+    w = Window.partitionBy("_row", "tpl").orderBy("_diag")
+    gap = _of(F.greatest("tpl", F.lit(0)), [0 if phrase else GAP for _, phrase, _, _ in known])
+    diags = diags.withColumn("_apart", F.coalesce((F.col("_diag") - F.lag("_diag").over(w) > gap).cast("int"), F.lit(0)))
+    spans = diags.withColumn("_span", F.sum("_apart").over(w)).groupBy(*keys, "_span").agg(F.min("_diag").alias("start"), F.max("_diag").alias("_last"), F.bit_count(F.bit_or("_bits")).alias("_found"))
+    tpl = F.greatest("tpl", F.lit(0))
+    cover = F.col("_found") / _of(tpl, [len(grams) for _, _, grams, _ in known])
+    spans = spans.withColumn("cover", F.when(F.col("tpl") >= 0, cover).otherwise(0.0))
+    spans = spans.filter((F.col("tpl") < 0) | (F.col("cover") >= _of(tpl, [1.0 if phrase else MIN_COVER for _, phrase, _, _ in known])))
+    end = F.col("_last") + _of(tpl, [n for _, _, _, n in known])
+    return spans.select("_row", F.col("_id").alias(id_col), "n_words", "tpl", F.greatest("start", F.lit(0)).cast("long").alias("start"), end.cast("long").alias("end"), "cover")
 
 
 def license_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: counts, first and last phrase, labels and score."""
-    spans = license_spans(docs, id_col, text_col)
-    base = F.col("phrase")
-    joined = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
-    return spans.groupBy("_row", id_col, "n_words").agg(
+    known = templates()
+    base = F.col("tpl").isin([n for n, t in enumerate(known) if t[1]])
+    spans = license_spans(docs, id_col, text_col).groupBy("_row", id_col, "n_words").agg(
         F.count_if(base).alias("n_base"),
         F.min(F.when(base, F.col("start"))).alias("first_word"),
         F.max(F.when(base, F.col("start"))).alias("last_word"),
-        joined(F.when(base, F.col("label"))).alias("base_labels"),
-        joined(F.col("label")).alias("labels"),
-        F.coalesce(F.max("cover"), F.lit(0.0)).alias("score"),
-    ).drop("_row").withColumn("n_words", F.col("n_words").cast("long"))
+        F.bit_or(F.when(F.col("tpl") >= 0, F.expr("shiftleft(1L, tpl)")).otherwise(0)).alias("_tpls"),
+        F.max("cover").alias("score"),
+    )
+
+    def names(only_phrases: bool) -> Column:
+        found = sorted((t[0], n) for n, t in enumerate(known) if t[1] or not only_phrases)
+        return F.concat_ws(",", *[F.when(F.col("_tpls").bitwiseAND(F.lit(1 << n)) != 0, F.lit(label)) for label, n in found])
+
+    return spans.select(id_col, F.col("n_words").cast("long"), "n_base", "first_word", "last_word", names(True).alias("base_labels"), names(False).alias("labels"), "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +131,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    values = ", ".join(f"('{label}', {i}, '{gram}', {phrase}, {n}, {words})" for label, i, gram, phrase, n, words in template_grams())
+    values = ", ".join(f"('{label}', {i}, '{gram}', {phrase}, {len(grams)}, {words})" for label, phrase, grams, words in templates() for i, gram in grams)
     return rf"""
 WITH tpl(label, t, gram, phrase, grams, words) AS (VALUES {values}),
 d AS (
