@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lipiflow import lexicon as L
@@ -18,10 +18,13 @@ from lipiflow.sources import sinks
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 NOW = "2024-06-01 12:00:00"
-AT = F.to_timestamp_ntz(F.lit(NOW))
 STAMP = "2024-06-01T12:00:00"
 
 
+def moment(text: str) -> Column:
+    return F.to_timestamp_ntz(F.lit(text))
+
+
 def query(sql: str):
     def register(f):
         QUERIES[f.__name__] = (f, sql)
@@ -119,7 +122,7 @@ SELECT 'file' || file_no || '.pdf' AS original_filename, page_number, hi AS hind
        'comprehensive' AS processing_method, length(c1)::INT AS text_length
 FROM ents JOIN k USING (doc_id, file_no, page_number)""")
 def q07_entity_rows(spark, sf_dir):
-    return entities.entity_rows(extracted(spark, sf_dir), F.concat(F.lit("file"), F.col("file_id"), F.lit(".pdf")), AT)
+    return entities.entity_rows(extracted(spark, sf_dir), F.concat(F.lit("file"), F.col("file_id"), F.lit(".pdf")), moment(NOW))
 
 
 @query(f"WITH {ENTITIES} SELECT doc_id, name, {D.confidence('name', 0.7)} AS context_confidence, {D.confidence('name', 0.5)} AS pattern_confidence, {D.valid_name('name')} AS valid FROM (SELECT doc_id, c2 AS name FROM k2 WHERE c2 <> '')")
@@ -207,7 +210,7 @@ def q13_processing_summary(spark, sf_dir):
   UNION ALL SELECT upper(type[1:1]) || type[2:] || ' Count', count(*)::VARCHAR FROM ents GROUP BY type
 ) SELECT "Metric", "Value" FROM w""")
 def q14_file_summary(spark, sf_dir):
-    return entities.file_summary(extracted(spark, sf_dir), F.lit("corpus.pdf"), AT)
+    return entities.file_summary(extracted(spark, sf_dir), F.lit("corpus.pdf"), moment(NOW))
 
 
 @query(f"""WITH p AS (SELECT * FROM {DOCS_AS_PAGES}), o AS (SELECT page_id AS doc_id, 'page ' || url AS text FROM pages)
@@ -262,7 +265,6 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MIDDLE = "1996-07-01 00:30:00"
-MID = F.to_timestamp_ntz(F.lit(MIDDLE))
 LISTING = "(SELECT o_orderkey + 3 AS file_id, md5(CAST(CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey ELSE o_orderkey + 3 END AS VARCHAR(20))) AS new_hash FROM orders)"
 
 
@@ -278,7 +280,7 @@ FROM {LISTING} l LEFT JOIN {LEDGER} t ON t.file_id = l.file_id"""
 
 @query(GATE)
 def q18_gate(spark, sf_dir):
-    return tracking.gate(listing(spark, sf_dir), ledger(spark, sf_dir), MID).select("file_id", "process")
+    return tracking.gate(listing(spark, sf_dir), ledger(spark, sf_dir), moment(MIDDLE)).select("file_id", "process")
 
 
 @query(f"""SELECT l.file_id, coalesce(processing_status = 'completed', false) AND (coalesce(file_hash = '', true) OR coalesce(file_hash = new_hash, false)) AS processed, coalesce(file_hash <> new_hash, true) AS changed
@@ -335,7 +337,7 @@ def q22_stale_reset(spark, sf_dir):
 
 @query(f"SELECT file_id, processing_status, first_seen FROM {LEDGER} WHERE NOT (processing_status IN ('completed', 'failed') AND first_seen < TIMESTAMP '{MIDDLE}' - INTERVAL 90 DAY)")
 def q23_cleanup(spark, sf_dir):
-    return tracking.without_old(ledger(spark, sf_dir), MID).select("file_id", "processing_status", "first_seen")
+    return tracking.without_old(ledger(spark, sf_dir), moment(MIDDLE)).select("file_id", "processing_status", "first_seen")
 
 
 @query(f"""WITH {STATE} SELECT count(*) AS total_files, {', '.join(f"count(*) FILTER (WHERE processing_status = '{s}') AS {s}_files" for s in STATUSES)}, sum(processing_attempts)::BIGINT AS total_attempts,
@@ -365,7 +367,7 @@ def q27_incremental_scan(spark, sf_dir):
     from lipiflow.sources.files import changed_since
 
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("file_id"), F.col("o_orderdate").cast("timestamp_ntz").alias("modified_time"))
-    return changed_since(rows, MID)
+    return changed_since(rows, moment(MIDDLE))
 
 
 @query(f"""WITH g AS ({GATE}), o AS (SELECT CASE WHEN NOT process THEN 'skipped' WHEN file_id % 10 = 0 THEN 'failed' ELSE 'processed' END AS outcome FROM g)
@@ -500,7 +502,7 @@ EXT = "lower(regexp_extract(url, '\\.([^./]*)$', 1))"
 
 @query(f"""SELECT page_id, regexp_replace(url, '\\.[^.]*$', '') || '_processed_20240601_120000' AS output_name, CASE {EXT} WHEN 'csv' THEN 'text/csv' WHEN 'pdf' THEN 'application/pdf' WHEN 'txt' THEN 'text/plain' WHEN 'json' THEN 'application/json' ELSE 'application/octet-stream' END AS mime FROM pages""")
 def q37_output_names(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", T.output_name(F.col("url"), "processed", AT).alias("output_name"), T.mime_type(F.col("url")).alias("mime"))
+    return table(spark, sf_dir, "pages").select("page_id", T.output_name(F.col("url"), "processed", moment(NOW)).alias("output_name"), T.mime_type(F.col("url")).alias("mime"))
 
 
 @query(f"""WITH {ENTITIES}, j AS (
@@ -508,7 +510,7 @@ def q37_output_names(spark, sf_dir):
 ) SELECT doc_id, '{{"filename":"corpus.pdf","processing_timestamp":"{STAMP}","pages":[{{"page_number":' || page_number || ',"processing_method":"' || CASE WHEN coalesce(text, '') = '' THEN 'empty' ELSE 'comprehensive' END || '",' || coalesce('"raw_text_length":' || length(text) || ',', '') || '"cleaned_text_length":' || length(c1) || ',"entities":[' || coalesce(es, '') || ']}}]}}' AS document
 FROM k LEFT JOIN j USING (doc_id)""")
 def q38_json_document(spark, sf_dir):
-    return sinks.json_documents(extracted(spark, sf_dir), F.lit("corpus.pdf"), AT, "doc_id")
+    return sinks.json_documents(extracted(spark, sf_dir), F.lit("corpus.pdf"), moment(NOW), "doc_id")
 
 
 @query(f"""WITH {ENTITIES} SELECT page_number, hi AS hindi_name, '' AS english_name, type AS entity_type, doc_id AS extra_id, '' AS note FROM ents""")

@@ -86,9 +86,15 @@ class Pipeline:
         if self.config.max_files is not None:
             seen = seen.orderBy("path").limit(self.config.max_files)
         known = self.ledger().select("file_id", "processing_status", "processing_attempts", "last_processed", "file_hash")
-        gated = tracking.gate(seen.withColumnRenamed("file_hash", "new_hash"), known, at, self.config.max_retries).cache()
-        take = gated.filter("process").select("file_id", "filename", "path", "content", F.col("new_hash").alias("file_hash"))
-        done = self.process(take, now, f"{now:%Y%m%d_%H%M%S}-{uuid.uuid4().hex[:8]}") if take.head(1) else None
+        # The decisions are written down: a cached plan over the event log would follow what is appended to it.
+        name = f"{now:%Y%m%d_%H%M%S}-{uuid.uuid4().hex[:8]}"
+        decided = f"{self.config.ledger_path}/decisions/{name}"
+        gated = tracking.gate(seen.withColumnRenamed("file_hash", "new_hash"), known, at, self.config.max_retries)
+        gated.select("file_id", F.col("new_hash").alias("file_hash"), "process").write.parquet(decided)
+        gated = self.spark.read.parquet(decided)
+        take = seen.drop("file_hash").join(gated.filter("process").select("file_id", "file_hash"), "file_id")
+        take = take.select("file_id", "filename", "path", "content", "file_hash")
+        done = self.process(take, now, name) if gated.filter("process").head(1) else None
         n = {r.outcome: r["count"] for r in done.groupBy("outcome").count().collect()} if done is not None else {}
         out = {"processed": n.get("processed", 0), "failed": n.get("failed", 0), "skipped": gated.filter("not process").count()}
         row = [(uuid.uuid4().hex, now, time.time() - began, out["processed"], out["failed"], out["skipped"])]

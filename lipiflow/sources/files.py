@@ -10,7 +10,7 @@ def scan(spark: SparkSession, folder: str, suffix: str = ".pdf", content: bool =
     """(file_id, filename, modified_time, file_size[, content, file_hash]) of a folder, suffix in either case.
 
     Contents are read only where asked for; a listing for the gate stays narrow.
-    ``modified_after`` prunes files before they are opened and is strict.
+    Files of no length are not seen.  ``modified_after`` prunes files before they are opened and is strict.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
     if modified_after:
