@@ -71,9 +71,11 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A null text stays null and has one blank line; blank lines are kept and do not
     break a run; texts of fewer than ``window`` lines never change.  Rows with
     equal id and text are treated as one document and come out alike.  An empty
-    table gives an empty result; columns of other names pass through.
+    table gives an empty result; columns of other names pass through, but one named
+    n_lines, removed or _key gives way.
     """
     removed = repeated_lines(docs, id_col, text_col, window)
+    docs = docs.drop("n_lines", "removed", "_key")
     rows = docs.withColumn("_key", _key(id_col, text_col)).join(removed.hint("shuffle_hash"), "_key", "left")
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("removed", i)), "\n")
