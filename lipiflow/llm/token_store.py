@@ -16,6 +16,9 @@ The store is a folder of Parquet tables:
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
+from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +30,12 @@ END_ID = 2
 #: A chunk ends where the rolling hash of the last WINDOW ids is a multiple of MEAN,
 #: but has LEAST to MOST ids.
 WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 1024
-#: Words whose ids a Python worker remembers, and chunks a task knows it has emitted.
-WORDS_KEPT = 800_000
+#: Words (in each of two generations) and stems whose ids a Python worker remembers, and chunks a task knows it has emitted.
+WORDS_KEPT, STEMS_KEPT = 500_000, 400_000
 CHUNKS_KEPT = 200_000
 PUNCTUATION = ".,!?;:()-"
+#: Plain and accented Latin letters, without U+0130, whose small form is two characters.
+LATIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+").fullmatch
 
 _worker: dict = {}
 
@@ -46,8 +51,9 @@ class Encoder:
 
     Its normaliser and its splitter never look across white space, so a text's
     ids are those of its words (cut at space and newline) one after another.  A
-    word of ASCII letters, or one followed by punctuation, goes straight to the
-    BPE model; every other word takes the whole tokenizer.
+    word of plain or accented Latin letters, which normalisation leaves composed
+    as they are, goes straight to the BPE model, as does punctuation after it;
+    every other word takes the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -56,33 +62,51 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.letters = self._bytes_of_letters()
         # Such a tokenizer marks word ends, lowers letters and drops white space.
         self.by_word = getattr(self.model, "end_of_word_suffix", None) == "</w>" and self.tokenizer.normalizer.normalize_str(" A\n") == " a "
 
+    def _bytes_of_letters(self) -> dict[int, str]:
+        """The letters of the byte alphabet for each accented Latin letter."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        split = ByteLevel(add_prefix_space=False, use_regex=False)
+        return {c: split.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250)}
+
+    def stem(self, stem: str) -> bytes:
+        found = self.stems.get(stem)
+        if found is None:
+            if len(self.stems) > STEMS_KEPT:
+                self.stems.clear()
+            letters = stem if stem.isascii() else stem.translate(self.letters)
+            found = self.stems[stem] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return found
+
     def word(self, word: str) -> bytes:
-        if word.isascii():
-            body = word.rstrip(PUNCTUATION)
-            if body.isalpha():
-                ids = [t.id for t in self.model.tokenize(body.lower())]
-                if len(body) < len(word):
-                    ids += [t.id for t in self.model.tokenize(word[len(body) :])]
-                return np.array(ids, np.uint32).tobytes()
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+        body = word.rstrip(PUNCTUATION)
+        if LATIN(body):
+            ids = self.stem(body.lower())
+            return ids + self.stem(word[len(body) :]) if len(body) < len(word) else ids
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> np.ndarray:
         if not self.by_word:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        known = self.known
+        if text.isascii():  # nothing to compose, so letters may be lowered first
+            text = text.lower()
         parts = text.replace("\n", " ").split(" ")
         try:
-            return np.frombuffer(b"".join([known[w] for w in parts]), np.uint32)
+            return np.frombuffer(b"".join([*map(self.known.__getitem__, parts)]), np.uint32)
         except KeyError:
-            if len(known) > WORDS_KEPT:
-                known.clear()
+            if len(self.known) > WORDS_KEPT:
+                self.older, self.known = self.known, {}
+            known, older = self.known, self.older
             for w in parts:
                 if w not in known:
-                    known[w] = self.word(w)
-            return np.frombuffer(b"".join([known[w] for w in parts]), np.uint32)
+                    known[w] = older.get(w) or self.word(w)
+            return np.frombuffer(b"".join([*map(known.__getitem__, parts)]), np.uint32)
 
 
 def _gear() -> np.ndarray:
@@ -99,11 +123,11 @@ def cut(ids: np.ndarray) -> list[int]:
     sums = np.cumsum(_gear()[ids & 0xFFFF], dtype=np.uint64)
     rolling = sums.copy()
     rolling[WINDOW:] -= sums[:-WINDOW]
-    hits = np.flatnonzero((rolling * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) & np.uint64(MEAN - 1) == 0) + 1
+    hits = (np.flatnonzero((rolling * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) & np.uint64(MEAN - 1) == 0) + 1).tolist()
     ends, at = [], 0
     while n - at > LEAST:
-        i = np.searchsorted(hits, at + LEAST)
-        end = min(int(hits[i]) if i < len(hits) else n, at + MOST, n)
+        i = bisect_left(hits, at + LEAST)
+        end = min(hits[i] if i < len(hits) else n, at + MOST, n)
         ends.append(end)
         at = end
     if at < n:
@@ -280,10 +304,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     Every stored chunk is read once; a document's CRC-32 is put together from its
     chunks' without moving ids between executors.
     """
-    schema = spark.read.parquet(f"{path}/store").schema
-    stored = spark.read.schema(schema).parquet(f"{path}/store")
-    chunks = stored.filter("kind = 'chunk'").select("hashes", "width", "data").mapInArrow(_verify, "address binary, n long, crc long")
     recipes = spark.read.parquet(f"{path}/recipes")
+    stored = spark.read.schema(STAGED.format(id=dict(recipes.dtypes)["doc_id"])).parquet(f"{path}/store")
+    chunks = stored.filter("kind = 'chunk'").select("hashes", "width", "data").mapInArrow(_verify, "address binary, n long, crc long")
     refs = recipes.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "start", "n_tokens", "root", "addresses")
     refs = stage(refs, "token-refs")
     each = refs.select("_row", F.posexplode("addresses").alias("at", "address"))
