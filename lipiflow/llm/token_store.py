@@ -180,7 +180,9 @@ def _encode(path: str):
                         seen.add(key)
                         rows.append(("chunk", int.from_bytes(key[:8], "little", signed=True), None, stop - at, width, [key], raw))
                     at = stop
-                rows.append(("recipe", int.from_bytes(address(merkle(hashes) + str(doc_id).encode())[:8], "little", signed=True), doc_id, len(ids), 0, hashes, None))
+                root = merkle(hashes)
+                deal = int.from_bytes(address(root + str(doc_id).encode())[:8], "little", signed=True)
+                rows.append(("recipe", deal, doc_id, len(ids), 0, hashes, root))
                 if len(rows) > 4000:
                     yield out(rows)
                     rows = []
@@ -215,14 +217,25 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
     rows = rows.repartition(shuffle_parts(spark), "_deal").mapInArrow(_once, schema)
     rows.write.option("compression", "zstd").partitionBy("kind").parquet(f"{path}/store")
     stored = spark.read.schema(schema).parquet(f"{path}/store")
-    recipes = stored.filter("kind = 'recipe'").select("_id", F.col("n").cast("long").alias("n_tokens"), F.col("hashes").alias("addresses"))
+    recipes = stored.filter("kind = 'recipe'").select("_id", F.col("n").cast("long").alias("n_tokens"), F.col("data").alias("root"), F.col("hashes").alias("addresses"))
     recipes = running_total(recipes, [], ["_id"], "n_tokens", "token-recipes").withColumnRenamed("before", "start")
-    recipes = recipes.select(F.col("_id").alias("doc_id"), "start", "n_tokens", F.udf(merkle, "binary")("addresses").alias("root"), "addresses")
+    recipes = recipes.select(F.col("_id").alias("doc_id"), "start", "n_tokens", "root", "addresses")
     recipes.repartitionByRange(shuffle_parts(spark), "start").sortWithinPartitions("start").write.option("compression", "zstd").parquet(f"{path}/recipes")
     listed = spark.read.parquet(f"{path}/recipes").withColumn("part", F.col("_metadata.file_name"))
-    roots = F.udf(lambda rows: merkle([r["root"] for r in rows]), "binary")
-    manifest = listed.groupBy("part").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("start", "root"))).alias("_docs"))
-    manifest.select("part", "first_id", "last_id", "start", "n_tokens", roots("_docs").alias("root")).write.parquet(f"{path}/manifest")
+    parts = listed.groupBy("part").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("start", "root"))).alias("docs"))
+    parts = parts.select("part", "first_id", "last_id", "start", "n_tokens", F.transform("docs", lambda d: d["root"]).alias("roots"))
+    schema = f"part string, first_id {kind}, last_id {kind}, start long, n_tokens long, root binary"
+    parts.mapInArrow(_part_roots, schema).write.parquet(f"{path}/manifest")
+
+
+def _part_roots(batches):
+    """One root over the roots of a recipe file's documents."""
+    import pyarrow as pa
+
+    for batch in batches:
+        roots = pa.array([merkle(r) for r in batch.column("roots").to_pylist()], pa.binary())
+        keep = batch.drop_columns(["roots"])
+        yield pa.RecordBatch.from_arrays([*keep.columns, roots], [*keep.schema.names, "root"])
 
 
 def _shift_tables() -> list[np.ndarray]:
