@@ -31,7 +31,7 @@ RADIUS = 2
 SHARD, SAMPLE = 16_384, 65_536
 #: A shard beyond this many fingerprints is linked by the exact rule, as a query over all executors.
 MOST = 400_000
-FEW = 96
+FEW = 384
 
 # The stage's near copies: word shingles and their similarity (Jaccard), see ``near_duplicates``.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -140,6 +140,8 @@ def shard_links(fps: np.ndarray, bits: int = 64, radius: int = RADIUS) -> np.nda
             continue
         if len(rows) <= FEW:
             near = np.bitwise_count(fps[rows][:, None] ^ fps[rows][None, :]) <= radius
+            if np.count_nonzero(near) == len(rows):
+                continue
             head = np.arange(len(rows))
             while True:
                 new = np.where(near, head[None, :], len(rows)).min(axis=1)
