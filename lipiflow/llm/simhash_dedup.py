@@ -20,11 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lipiflow.llm.common import components, documents, join_skewed, stage
-from lipiflow.llm.vector import mix, pieces, words
+from lipiflow.llm.common import components, documents, join_by_size, join_skewed, stage
+from lipiflow.llm.vector import Counter, find, mix, pieces, words
 
 RADIUS = 2
 #: Fingerprints per shard, and sample rows the tree is grown on.
@@ -35,7 +35,10 @@ FEW = 384
 
 # The stage's near copies: word shingles and their similarity (Jaccard), see ``near_duplicates``.
 SHINGLE, SIMILARITY = 5, 0.8
-SKETCHES, SKETCH_BITS, SKETCH_ROWS = 24, 32, 128
+#: Sets whose shingles are counted for the order of prefixes, and common shingles broadcast (16 bytes each).
+COUNTED_SETS, COMMON_SHINGLES = 32_768, 500_000
+#: Rounds of comparing with one text of a prefix shingle, rows per task of the last round, parts of the hash range.
+STARS, BUCKET_ROWS, CELLS = 2, 20_000, 64
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -240,27 +243,105 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n_rows: int, k: int) -> tuple
     return grams[order], where[order]
 
 
-def _sketch(shingle: int):
-    """Per row: hash of its shingle set, SKETCHES short SimHashes of a random part of the set, and the set."""
+def _sets(shingle: int, whole: bool):
+    """Per row its shingle set's size, with the set itself (ascending hashes), or else the set's hash and SimHash."""
 
     def run(batches):
         import pyarrow as pa
 
-        seeds = mix(np.arange(1, SKETCHES * SKETCH_BITS // 64 + 1, dtype=np.uint64))
         for batch in batches:
             for piece in pieces(batch, "_text"):
                 hashes, rows, *_ = words(piece.column("_text"))
                 grams, where = shingles(hashes, rows, piece.num_rows, shingle)
                 borders = np.searchsorted(where, np.arange(piece.num_rows + 1))
-                sets, sims, names = [], [], []
-                for a, b in zip(borders, borders[1:]):
-                    own = np.unique(grams[a:b])
-                    part = own[:SKETCH_ROWS]  # hashes are random, so the smallest are a random part
-                    bits = np.unpackbits(mix(part[:, None] ^ seeds[None, :]).view(np.uint8), axis=1)
-                    sims.append(np.packbits(bits.sum(axis=0, dtype=np.int32) * 2 > len(part)).tobytes())
-                    names.append(xxhash.xxh64_intdigest(own.tobytes()))
-                    sets.append((own >> np.uint64(32)).astype(np.uint32).tobytes())
-                yield pa.RecordBatch.from_arrays([piece.column("_id"), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sims, pa.binary()), pa.array(sets, pa.binary())], ["id", "set_id", "sims", "shingles"])
+                sets = [np.unique(grams[a:b]) for a, b in zip(borders, borders[1:])]
+                sizes = pa.array([len(x) for x in sets], pa.int64())
+                if whole:
+                    yield pa.RecordBatch.from_arrays([piece.column("_id"), sizes, pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "size", "shingles"])
+                    continue
+                ones = [np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for x in sets]
+                fps = np.array([np.packbits(n * 2 > len(x), bitorder="little").view(np.uint64)[0] for n, x in zip(ones, sets)], np.uint64)
+                names = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
+                yield pa.RecordBatch.from_arrays([piece.column("_id"), pa.array(names.view(np.int64)), pa.array(fps.view(np.int64))], ["id", "set_id", "fp"])
+
+    return run
+
+
+def _count_shingles(batches):
+    import pyarrow as pa
+
+    counts = Counter(1)
+
+    def out():
+        keys, values = counts.take()
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(values[0])], ["token", "n"])
+
+    for batch in batches:
+        for x in batch.column("shingles").to_pylist():
+            own = np.frombuffer(x, np.uint64)
+            counts.add(own, [np.ones(len(own), np.int64)])
+            if counts.full():
+                yield out()
+    yield out()
+
+
+def _prefixes(common, least: float):
+    """(token, id, size, at): the first shingles of a set, in one order for all sets, that a set similar to it can't all miss."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        table, weight = common.value
+        for batch in batches:
+            tokens, row, sizes, places = [], [], [], []
+            for r, x in enumerate(batch.column("shingles").to_pylist()):
+                own = np.frombuffer(x, np.uint64)
+                if not len(own):
+                    continue
+                k = len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1
+                seen = find(table, own)
+                order = np.argsort(np.where(seen >= 0, weight[seen], 0) if len(table) else seen, kind="stable")[:k]
+                tokens.append(own[order])
+                row.append(np.full(len(order), r))
+                sizes.append(np.full(len(order), len(own)))
+                places.append(np.arange(len(order)))
+            flat = lambda parts, kind: np.concatenate(parts).astype(kind, copy=False) if parts else np.zeros(0, kind)
+            yield pa.RecordBatch.from_arrays([pa.array(flat(tokens, np.uint64).view(np.int64)), batch.column("id").take(pa.array(flat(row, np.int64))), pa.array(flat(sizes, np.int64)), pa.array(flat(places, np.int64))], ["token", "id", "size", "at"])
+
+    return run
+
+
+def _cells(batches):
+    """Counts of a set's shingles in CELLS parts of the hash range."""
+    import pyarrow as pa
+
+    for batch in batches:
+        counts = [np.bincount((np.frombuffer(x, np.uint64) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint32).tobytes() for x in batch.column("shingles").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.binary())], ["id", "cells"])
+
+
+def _bucket_pairs(least: float):
+    """All pairs of a token's sets that differ in component and may reach the similarity; no bound used here rules out a pair that does."""
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["token", "size"])
+        token, size, at = (pdf[c].to_numpy(np.int64) for c in ("token", "size", "at"))
+        comp, ids = pd.factorize(pdf["comp"])[0], pdf["id"].to_numpy()
+        cells = np.frombuffer(b"".join(pdf["cells"]), np.uint32).reshape(-1, CELLS)
+        borders = np.append(np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])), len(token))
+        found = [np.zeros((0, 2), np.int64)]
+        for low, high in zip(borders, borders[1:]):
+            for i in range(low, high - 1):
+                j = np.arange(i + 1, low + np.searchsorted(size[low:high], size[i] / least + 1e-9, "right"))
+                j = j[comp[j] != comp[i]]
+                need = least * (size[i] + size[j]) / (1 + least) - 1e-6
+                good = np.minimum(size[i] - at[i], size[j] - at[j]) >= need
+                j, need = j[good], need[good]
+                j = j[np.minimum(cells[i], cells[j]).sum(axis=1, dtype=np.int64) >= need]
+                found.append(np.stack([np.full(len(j), i), j], axis=1))
+        pairs = np.concatenate(found)
+        return pd.DataFrame({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]}).drop_duplicates()
 
     return run
 
@@ -272,8 +353,8 @@ def _similar(least: float):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-                both = len(np.intersect1d(x, y))
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= least * (len(x) + len(y) - both) - 1e-9)
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
@@ -284,37 +365,81 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of ``docs``: id, component_id; near copies share the smallest id of their group.
 
     Texts are near copies from a Jaccard similarity of ``similarity`` of their
-    shingle sets (words are letters and digits with A-Z lowered).  At 0.8 a
-    64-bit SimHash differs in about ten bits, where a vantage-point tree prunes
-    nothing; so a text has SKETCHES short SimHashes, near copies are within
-    RADIUS bits in at least one of them (at 0.8 in 19 of 20 cases, at 0.85 in 199
-    of 200), trees over each find these pairs, and the exact similarity decides.
-    Texts without words, null ones included, are copies of each other.  Rows of
-    equal id are one row.  Other columns are ignored; an empty table gives an
-    empty result.
+    shingle sets (words are letters and digits with A-Z lowered); all such pairs
+    are found.  SimHashes within RADIUS bits, found by the trees, link the nearest
+    copies first.  At 0.8 a SimHash differs in about ten bits, where a tree prunes
+    nothing, so the rest comes from prefixes: of two similar sets in one order of
+    all shingles, some shingle is among the first fifth of both.  Shingles common
+    in a sample come last in that order.  Texts that share such a shingle are
+    compared with one of them for STARS rounds, which join large groups by a pair
+    a text; then all pairs left between different groups are.  The exact
+    similarity decides on every pair.  Texts without words, null ones included,
+    are copies of each other.  Rows of equal id are one row.  Other columns are
+    ignored; an empty table gives an empty result.
     """
+    spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = stage(rows.mapInArrow(_sketch(shingle), f"id {kind}, set_id long, sims binary, shingles binary"), "near-rows")
-    sets = stage(rows.groupBy("set_id").agg(F.min(F.struct("id", "sims")).alias("s"), F.count(F.lit(1)).alias("n")).select("set_id", "n", "s.*"), "near-sets")
-    width = SKETCH_BITS // 8
-    value = lambda i: F.conv(F.hex(F.substring(F.col("sims"), i * width + 1, F.lit(width))), 16, 10).cast("long")
-    spaces = sets.filter("id is not null").select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), value)).alias("space", "fp"))
-    spaces = stage(spaces, "near-spaces")
-    heads = stage(spaces.groupBy("space", "fp").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")), "near-heads")
-    equal = heads.filter("n > 1").withColumn("_key", F.struct("space", "fp")).select("_key", "n", "head")
-    equal = join_skewed(spaces.withColumn("_key", F.struct("space", "fp")), equal, "_key", "n", spaces.count(), F.col("id")).filter("head <> id").select(F.col("id").alias("a"), F.col("head").alias("b"))
-    edges = hamming_edges(heads.select("space", "fp", F.col("head").alias("id")), "near", SKETCH_BITS)
-    pairs = stage(edges.union(equal).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
-
-    content = rows.join(sets.select("id", "set_id"), ["id", "set_id"], "left_semi").dropDuplicates(["id"]).select("id", "shingles")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    content = stage(content.join(ends, "id"), "near-content")
-    for end, column in (("a", "x"), ("b", "y")):
-        pairs = join_skewed(pairs, content.select(F.col("id").alias(end), "n", F.col("shingles").alias(column)), end, "n", max(1, pairs.count()), F.struct("a", "b")).drop("n")
-    linked = stage(pairs.mapInArrow(_similar(similarity), f"a {kind}, b {kind}"), "near-links")
-    reached = components(linked, "near")
-    table = stage(sets.join(reached, "id", "left").select("set_id", "n", F.coalesce("component", "id").alias("component_id")), "near-table")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = stage(texts.mapInArrow(_sets(shingle, False), f"id {kind}, set_id long, fp long"), "near-rows")
+    sets = stage(rows.groupBy("set_id").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "near-sets")
+    named = sets.filter("id is not null")
+    own = join_by_size(texts, named.select(F.col("id").alias("_id")).distinct(), "_id", "left_semi")
+    own = stage(own.mapInArrow(_sets(shingle, True), f"id {kind}, size long, shingles binary"), "near-own")
+
+    links, comps = None, None
+
+    def verify(pairs: DataFrame) -> None:
+        """Keeps the pairs that are similar, and joins components by them."""
+        nonlocal links, comps
+        pairs = stage(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
+        total = pairs.count()
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+        content = stage(own.select("id", "shingles").join(ends, "id"), "near-content")
+        for end, column in (("a", "x"), ("b", "y")):
+            pairs = join_skewed(pairs, content.select(F.col("id").alias(end), "n", F.col("shingles").alias(column)), end, "n", max(1, total), F.struct("a", "b")).drop("n")
+        found = stage(pairs.mapInArrow(_similar(similarity), f"a {kind}, b {kind}"), "near-links")
+        links = found if links is None else links.union(found)
+        comps = stage(components(links, "near"), "near-components")
+
+    heads = stage(named.groupBy("fp").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")), "near-heads")
+    equal = join_skewed(named.select("id", "fp"), heads.filter("n > 1"), "fp", "n", sets.count(), F.col("id")).filter("head <> id").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    verify(hamming_edges(heads.select(F.lit(0).alias("space"), "fp", F.col("head").alias("id")), "near").union(equal))
+
+    # Any order of the shingles is right; with the common ones last few texts meet that aren't similar.
+    part = min(1.0, COUNTED_SETS / max(1, own.count()))
+    counted = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(part * 1_000_000)).mapInArrow(_count_shingles, "token long, n long")
+    counted = counted.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1").orderBy(F.desc("n"), "token").limit(COMMON_SHINGLES).toPandas()
+    keys, weight = counted["token"].to_numpy(np.int64).view(np.uint64), counted["n"].to_numpy(np.int64)
+    order = np.argsort(keys)
+    common = spark.sparkContext.broadcast((keys[order], weight[order]))
+    met = own.mapInArrow(_prefixes(common, similarity), f"token long, id {kind}, size long, at long")
+    met = met.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("_n > 1").drop("_n")
+    met = stage(met, "near-met")
+
+    def apart(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows of tokens that meet in more than one component, and these tokens with a row to compare with."""
+        now = met.drop("comp").join(comps.select("id", F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        now = stage(now.select("token", "id", "size", "at", "comp"), "near-apart")
+        head = F.min(F.struct(F.xxhash64("comp").alias("x"), F.xxhash64("id", F.lit(step)).alias("y"), "id", "size", "at", "comp")).alias("head")
+        tokens = stage(now.groupBy("token").agg(head, F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").drop("low", "high"), "near-tokens")
+        return join_skewed(now, tokens, "token", "n", now.count(), F.col("id")).filter("head is not null"), tokens
+
+    for step in range(STARS):
+        now, _ = apart(met)
+        met = stage(now, "near-met")
+        reach = F.least(F.col("size") - F.col("at"), F.col("head.size") - F.col("head.at")) >= F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("head.size")) - 1e-6
+        stars = met.filter(F.col("comp") != F.col("head.comp")).filter(reach)
+        verify(stars.groupBy("id").agg(F.min("head").alias("head")).select(F.col("id").alias("a"), F.col("head.id").alias("b")))
+        met = met.select("token", "id", "size", "at")
+
+    step = STARS
+    met = stage(apart(met)[0].select("token", "id", "size", "at", "comp"), "near-met")
+    cells = stage(own.join(met.select("id").distinct(), "id", "left_semi").mapInArrow(_cells, f"id {kind}, cells binary"), "near-cells")
+    groups = max(1, met.count() // BUCKET_ROWS)
+    pairs = met.join(cells, "id").withColumn("_group", F.pmod(F.xxhash64("token"), F.lit(groups)))
+    verify(pairs.groupBy("_group").applyInPandas(_bucket_pairs(similarity), f"a {kind}, b {kind}"))
+
+    table = stage(sets.join(comps, "id", "left").select("set_id", "n", F.coalesce("component", "id").alias("component_id")), "near-table")
     out = join_skewed(rows.select("id", "set_id"), table, "set_id", "n", rows.count(), F.col("id"))
     return out.select(F.col("id").alias(id_col), "component_id")
 

@@ -186,6 +186,24 @@ def test_near_duplicates(make):
     assert sum(got[a] == got[b] for a, b in edges) >= 0.95 * len(edges)
 
 
+def jaccard(a, b):
+    a, b = ({tuple(t.split()[j : j + 5]) for j in range(max(1, len(t.split()) - 4))} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_near_duplicates_appended_cut_and_short(make):
+    """Copies at 0.8, by text put before, after or left out; sets of four and five shingles."""
+    texts, pairs = {}, []
+    for g in range(90):
+        n = (204, 404, 8)[g % 3]
+        full = prose(n + (n - 4) // 4, 9000 + g).split()
+        texts[2 * g], texts[2 * g + 1] = " ".join(full), " ".join(full[:n] if g % 2 else full[-n:])
+        pairs.append((2 * g, 2 * g + 1))
+    assert all(jaccard(texts[a], texts[b]) == 0.8 for a, b in pairs)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(make(texts)).collect()}
+    assert got == {i: i - i % 2 for i in texts}
+
+
 def test_tokens(spark, make, tmp_path):
     from tokenizers import Tokenizer
 
