@@ -1,8 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Word trigrams of the test items are looked up in every text.  Of each item the
-trigrams rarest in the corpus serve as seeds; around every seed the passage is
-aligned with the item, so edited and paraphrased copies score by what they keep.
+Word trigrams of the test items are looked up in every text, and all that a text
+shares with an item are seeds, however often they occur elsewhere: which of an
+item's trigrams an edited copy keeps doesn't depend on how many texts hold them.
+Around the seeds the passage is aligned with the item, so edited and paraphrased
+copies score by what they keep; passages with too few of the item's words to reach
+the score are passed over.
 
 Items are taken in blocks with a bounded number of trigrams; a block is broadcast
 and met by all texts, so no text moves between executors.
@@ -18,8 +21,6 @@ from lipiflow.llm.common import documents, running_total, stage
 from lipiflow.llm.vector import find, mix, pieces, words
 
 SEED_WORDS = 3
-#: A seed is rare if at most this many times as many texts hold it as the item's rarest.
-RARE = 8
 MATCH, MISMATCH, SPACE = 2, -1, -1
 #: Alignments of this part of the best possible score and more are leaks.
 LEAK = 0.5
@@ -79,24 +80,6 @@ def _hits(block, hashes, rows):
     return at[maybe][number >= 0], number[number >= 0]
 
 
-def _frequencies(shared):
-    def run(batches):
-        import pyarrow as pa
-
-        block = shared.value
-        counts = np.zeros(len(block[0]), np.int64)
-        for batch in batches:
-            for piece in pieces(batch, "_text"):
-                hashes, rows, *_ = words(piece.column("_text"))
-                at, number = _hits(block, hashes, rows)
-                pairs = np.unique(rows[at] * len(counts) + number)
-                counts += np.bincount(pairs % len(counts), minlength=len(counts))
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["gram", "texts"])
-
-    return run
-
-
 def _passages(at: np.ndarray, offset: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Word ranges around seed hits; hits further apart than an item are passages of their own."""
     starts = np.sort(at - offset)
@@ -109,19 +92,19 @@ def _leaks(shared, leak: float):
     def run(batches):
         import pyarrow as pa
 
-        block, rare, names = shared.value
+        block, names = shared.value
         _, first, items, offsets, texts, _ = block
+        known = [np.unique(t) for t in texts]
         for batch in batches:
             out = []
             for piece in pieces(batch, "_text"):
                 hashes, rows, *_ = words(piece.column("_text"))
                 borders = np.searchsorted(rows, np.arange(piece.num_rows + 1))
                 at, number = _hits(block, hashes, rows)
-                # Each hit becomes one row for every item that has the trigram as a seed.
+                # Each hit becomes one row for every item that has the trigram.
                 n = first[number + 1] - first[number]
                 each = np.repeat(np.arange(len(number)), n)
                 entry = first[number][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                each, entry = each[rare[entry]], entry[rare[entry]]
                 item, row = items[entry], rows[at[each]]
                 order = np.lexsort((item, row))
                 pair = row[order] * len(texts) + item[order]
@@ -132,6 +115,8 @@ def _leaks(shared, leak: float):
                     best = (0, 0)
                     for a, b in _passages(at[each[group]], offsets[entry[group]], len(goal)):
                         a, b = max(a, low), min(b, high)
+                        if np.count_nonzero(find(known[i], hashes[a:b]) >= 0) < leak * len(goal):
+                            continue  # even if all these words match, the score is less
                         score, end = align(hashes[a:b], goal)
                         best = max(best, (score, a + end - low))
                     score = best[0] / (MATCH * len(goal))
@@ -172,16 +157,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col
         block = _block(rows)
         if not len(block[0]):
             continue
-        shared = spark.sparkContext.broadcast(block)
-        seen = texts.select("_text").mapInArrow(_frequencies(shared), "gram long, texts long").groupBy("gram").agg(F.sum("texts").alias("texts")).toPandas()
-        texts_with = np.zeros(len(block[0]), np.int64)
-        texts_with[seen["gram"].to_numpy(int)] = seen["texts"].to_numpy(int)
-        of_entry = np.repeat(texts_with, np.diff(block[1]))
-        least = np.full(len(rows), np.iinfo(np.int64).max)
-        there = of_entry > 0
-        np.minimum.at(least, block[2][there], of_entry[there])
-        rare = of_entry <= np.minimum(least[block[2]], np.iinfo(np.int64).max // RARE) * RARE
-        model = spark.sparkContext.broadcast((block, rare, [r["_item"] for r in rows]))
+        model = spark.sparkContext.broadcast((block, [r["_item"] for r in rows]))
         found.append(stage(texts.mapInArrow(_leaks(model, leak), schema), "leaks"))
     if not found:
         return spark.createDataFrame([], schema).select(F.col("_id").alias(id_col), F.col("_item").alias(item_col), "score", "end_word", "seeds")

@@ -311,6 +311,17 @@ def test_leaks(spark, make):
     assert got[(1, 0)] == 1.0 and 0.5 < got[(2, 1)] < 0.9
 
 
+def test_leaks_of_many_edited_copies(spark, make):
+    """One text has the item whole, a dozen have it with one word changed."""
+    item = prose(36, 6000)
+    edited = item.split()
+    edited[17] = "changed"
+    texts = {i: f"{prose(40, 6100 + i)} {' '.join(edited)} {prose(40, 6200 + i)}" for i in range(12)} | {12: item, 13: prose(100, 6300)}
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {x.doc_id: x.score for x in decontamination.leaks(make(texts), table).collect()}
+    assert set(got) == set(range(13)) and min(got.values()) > 0.9
+
+
 def test_alignment_against_plain_form():
     r = np.random.Generator(np.random.PCG64(2))
     for _ in range(50):
