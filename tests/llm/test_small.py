@@ -8,11 +8,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lipiflow.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, mixing, secret_scan, simhash_dedup, token_store, toxicity
+from lipiflow.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, mixing, secret_scan, simhash_dedup, token_store, toxicity, vector
 
 RNG = random.Random(4)
 VOCABULARY = ["".join(RNG.choice("abcdefghijklmnop") for _ in range(RNG.randint(2, 7))) for _ in range(400)]
@@ -297,6 +298,17 @@ def test_toxicity(spark, make):
     assert all(abs(again[i] - got[i].score) < 1e-9 for i in texts)
 
 
+def test_toxicity_keeps_rare_words(spark, make):
+    """Words of two training texts enter the models, however many others there are."""
+    train = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    r = random.Random(8)
+    texts = {i: " ".join(f"w{n}" for n in r.sample(range(5000), 400)) + (" vilest insult" if i in train[:2] else "") for i in range(3000)}
+    labels = spark.createDataFrame([(i, int(i in train[:40])) for i in texts], "doc_id long, toxic int")
+    (keys, single, pair, _), _ = toxicity.fit(make(texts), labels)
+    at = vector.find(keys, vector.words(pa.array(["vilest insult"]))[0])
+    assert (at >= 0).all() and vector.find(pair, toxicity._pair(at[:1], at[1:]))[0] >= 0
+
+
 def test_leaks(spark, make):
     items = {i: prose(30, 5000 + i) for i in range(20)}
     r = random.Random(6)
