@@ -205,6 +205,18 @@ def test_near_duplicates_appended_cut_and_short(make):
     assert got == {i: i - i % 2 for i in texts}
 
 
+def test_near_duplicates_with_a_shared_passage(make):
+    """Pairs of copies among thousands of texts that share a passage with them, nearer than chance but apart."""
+    shared = prose(300, 1)
+    texts = {i: f"{shared} {prose(60, 100 + i)}" for i in range(2000)}
+    for i in range(0, 200, 2):
+        texts[i + 1] = texts[i].rsplit(" ", 3)[0] + f" other words {i}"
+    texts |= {1000 + i: f"{prose(60, 20_000 + i)} {shared} {prose(30, 7000 + i)}" for i in range(1000)}
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(make(texts)).collect()}
+    assert jaccard(texts[0], texts[1]) >= 0.8 > jaccard(texts[0], texts[2])
+    assert got == {i: i - i % 2 if i < 200 else i for i in texts}
+
+
 def test_tokens(spark, make, tmp_path):
     from tokenizers import Tokenizer
 
