@@ -22,12 +22,17 @@ BROADCAST_IDS = 300_000
 #: Keys holding over 1/HOT_PARTS of all rows are joined by broadcast.  By the
 #: pigeonhole principle there are fewer than HOT_PARTS of them, whatever the data.
 HOT_PARTS = 1_000
+#: Bits of a bitmap per marked key, and at most (32 MiB, broadcast).  A fuller bitmap only lets more rows through.
+KEY_BITS, MOST_BITS = 16, 1 << 28
+SLICE_BITS = 32_768  # of Spark's bitmap functions
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder for stage tables; a local one only where none is configured (tests)."""
+    """The shared folder for stage tables; a local one only where none is configured and all runs in one process (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lipiflow-stage-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -84,7 +89,27 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return join_by_size(docs, stage(ids.distinct(), "dropped-ids"), key, "left_anti")
 
 
-def join_skewed(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, spread: Column) -> DataFrame:
+def marks(keys: DataFrame, key: str, name: str) -> tuple[DataFrame, int]:
+    """A bitmap of hashed ``keys`` as a stage table of slices, sized by their number, and its bits."""
+    wanted = KEY_BITS * keys.count()
+    bits = min(MOST_BITS, max(SLICE_BITS, 1 << wanted.bit_length()))
+    slot = F.pmod(F.xxhash64(key), F.lit(bits)).cast("long")
+    slices = keys.select((slot / SLICE_BITS).cast("long").alias("_slice"), F.pmod(slot, F.lit(SLICE_BITS)).alias("_bit"))
+    return stage(slices.groupBy("_slice").agg(F.bitmap_construct_agg("_bit").alias("_bits")), name), bits
+
+
+def marked(rows: DataFrame, key: str, bitmap: tuple[DataFrame, int], flag: str) -> DataFrame:
+    """Add ``flag``: whether the bit of ``key`` is set, which it is for every key in the bitmap and few others."""
+    slices, bits = bitmap
+    slot = F.pmod(F.xxhash64(key), F.lit(bits)).cast("long")
+    rows = rows.withColumn("_slice", (slot / SLICE_BITS).cast("long")).withColumn("_at", F.pmod(slot, F.lit(SLICE_BITS)).cast("int"))
+    rows = rows.join(F.broadcast(slices), "_slice", "left")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.expr("_at div 8 + 1"), F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(_byte, _at % 8) & 1 = 1")
+    return rows.withColumn("_byte", byte).withColumn(flag, F.coalesce(bit, F.lit(False))).drop("_slice", "_at", "_bits", "_byte")
+
+
+def join_skewed(rows: DataFrame, table: DataFrame, key: str, count: str, total: int, spread: Column, hint: str | None = None) -> DataFrame:
     """Left join ``rows`` to ``table`` (unique ``key``) when a few keys hold most rows.
 
     ``table[count]`` is how many rows carry the key.  Keys over ``total / HOT_PARTS``
@@ -98,7 +123,7 @@ def join_skewed(rows: DataFrame, table: DataFrame, key: str, count: str, total:
     cold = table.filter(F.col(count) <= limit).select(F.col(key), F.lit(0).cast("long").alias("_fill"), F.struct(*values).alias("_c"))
     out = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     out = out.withColumn("_fill", F.when(F.col("_h").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(spread).bitwiseOR(F.lit(1).cast("long"))))
-    out = out.join(cold, [key, "_fill"], "left").withColumn("_v", F.coalesce("_h", "_c"))
+    out = out.join(cold.hint(hint) if hint else cold, [key, "_fill"], "left").withColumn("_v", F.coalesce("_h", "_c"))
     return out.select(*rows.columns, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 

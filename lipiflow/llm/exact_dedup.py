@@ -1,7 +1,10 @@
 """Exact dedup by progressive refinement: length, then prefix hash, then full hash.
 
-Each step looks at more of a text, but only for rows that still share a group
-with another row.  Groups travel as (length, hash) rows; no text is shuffled.
+Rows are grouped by the length of their text first.  The prefix is hashed only
+where another row has the same length, and the whole text only where another row
+has the same length and prefix.  Survivors of a step are marked in a bitmap that
+is broadcast, so texts are read again but never shuffled; a clash in the bitmap
+only lets a row through to the next step.
 """
 
 from __future__ import annotations
@@ -9,13 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lipiflow.llm.common import documents, join_skewed, stage
+from lipiflow.llm.common import documents, join_skewed, marked, marks, stage
 
 PREFIX_CHARS = 64
-#: The survivors of the first two steps are marked in a bitmap of this many bits
-#: (2 MiB), which is broadcast.  A clash only lets a row through to the full hash.
-BITMAP_BITS = 1 << 24
-SLICE_BITS = 32_768  # of Spark's bitmap functions
 
 
 def normalised(text: Column) -> Column:
@@ -23,19 +22,21 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def _bitmap(keys: DataFrame) -> DataFrame:
-    slot = F.pmod(F.col("_key"), F.lit(BITMAP_BITS)).cast("long")
-    return keys.select((slot / SLICE_BITS).cast("long").alias("_slice"), F.pmod(slot, F.lit(SLICE_BITS)).alias("_bit")).groupBy("_slice").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+def refined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_id, _text, _len, _prefix, _survives): the steps before the full hash.
 
-
-def _marked(rows: DataFrame, bitmap: DataFrame) -> DataFrame:
-    """Add ``_survives``: whether the bit of ``_key`` is set.  The bitmap has at most 512 rows of 4 KiB."""
-    slot = F.pmod(F.col("_key"), F.lit(BITMAP_BITS)).cast("long")
-    rows = rows.withColumn("_slice", (slot / SLICE_BITS).cast("long")).withColumn("_at", F.pmod(slot, F.lit(SLICE_BITS)).cast("int"))
-    rows = rows.join(F.broadcast(bitmap), "_slice", "left")
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.expr("_at div 8 + 1"), F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftright(_byte, _at % 8) & 1 = 1")
-    return rows.withColumn("_byte", byte).withColumn("_survives", F.coalesce(bit, F.lit(False))).drop("_slice", "_at", "_bits", "_byte")
+    ``_prefix`` is null for a length that no other row has; ``_survives`` tells the
+    rows that share length and prefix with another row.
+    """
+    rows = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text")).withColumn("_len", F.octet_length("_text"))
+    lengths = stage(rows.groupBy("_len").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "exact-lengths")
+    rows = marked(rows, "_len", marks(lengths.select("_len"), "_len", "exact-length-marks"), "_shared")
+    rows = rows.withColumn("_prefix", F.when(F.col("_shared"), F.xxhash64(F.substring("_text", 1, PREFIX_CHARS)))).drop("_shared")
+    keys = rows.filter("_prefix is not null").groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    keys = stage(keys.select(F.xxhash64("_len", "_prefix").alias("_key")), "exact-keys")
+    rows = rows.withColumn("_key", F.xxhash64("_len", "_prefix"))
+    rows = marked(rows, "_key", marks(keys, "_key", "exact-key-marks"), "_survives")
+    return rows.withColumn("_survives", F.col("_survives") & F.col("_prefix").isNotNull()).drop("_key")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_all: bool = False) -> DataFrame:
@@ -46,22 +47,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Texts are equal when identical after white-space normalisation.  Nulls count
     as empty texts and equal each other; of equal rows the smallest id stays;
-    repeated rows (same id and text) are one group and all marked kept, as they
-    cannot be told apart.  An empty table gives an empty result.  Other columns
+    a null id stays only where the whole group has none; repeated rows (same id and
+    text) are one group and all marked kept, as they cannot be told apart.  An empty table gives an empty result.  Other columns
     of ``docs`` are ignored, whatever their names.
     """
-    docs = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
-    rows = docs.withColumn("_len", F.octet_length("_text")).withColumn("_prefix", F.xxhash64(F.substring("_text", 1, PREFIX_CHARS)))
-
-    # Refinement: lengths that occur twice, then (length, prefix) pairs that do.
-    pairs = stage(rows.groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n")), "exact-pairs")
-    lengths = pairs.groupBy("_len").agg(F.sum("_n").alias("_n")).filter("_n > 1")
-    keys = pairs.filter("_n > 1").join(lengths.select("_len"), "_len", "left_semi")
-    bitmap = stage(_bitmap(keys.select(F.xxhash64("_len", "_prefix").alias("_key"))), "exact-bitmap")
-
-    # Only rows whose bit is set have a possible partner; the others are groups of one.
-    rows = _marked(rows.withColumn("_key", F.xxhash64("_len", "_prefix")), bitmap)
     full = F.sha2("_text", 256)
+    rows = refined(docs, id_col, text_col)
     rows = rows.select("_id", "_survives", (full if hash_all else F.when(F.col("_survives"), full)).alias("text_sha256"))
     rows = stage(rows, "exact-rows")
     groups = rows.filter("_survives").groupBy("text_sha256").agg(F.min("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -71,7 +62,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col("_id").alias(id_col),
         F.coalesce("keep_id", "_id").alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("keep_id") == F.col("_id"), F.lit(True)).alias("kept"),
+        F.coalesce("keep_id", "_id").eqNullSafe(F.col("_id")).alias("kept"),
         "text_sha256",
     )
 
