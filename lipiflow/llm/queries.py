@@ -24,6 +24,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": mixing.SQL,
         "op5_line_dedup": line_dedup.SQL,
+        "op7_secret_scan": secret_scan.SQL,
         "op9_license_scan": license_scan.SQL,
         "op10_exact_dedup": exact_dedup.SQL,
     }

@@ -3,14 +3,20 @@
 Base patterns report on their own.  Weak candidates (random-looking tokens,
 account names, endpoints) are reported only when complementary parts of one
 credential stand within a scope: the parts of a text are sorted by position and
-joined by interval, each to the nearest complementary part on either side.
+joined by interval: a part is reported if any complementary part, whatever lies
+between or around them, overlaps its scope.
+
+A text's parts all stand in that text, so the join runs where the text is read and
+nothing moves; as positions come from regular expressions over whole texts, it is
+Python code in an Arrow stage, with one sorted pass per text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +49,21 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def _near(part: tuple[int, int, str], others: list[tuple[int, int, str]], starts: list[int]) -> bool:
-    """Whether one of ``others`` (by start, disjoint) lies within the scope of ``part``."""
-    i = bisect_left(starts, part[0])
-    before, after = others[i - 1 : i] if i else [], others[i : i + 1]
-    return any(o[1] >= part[0] - SCOPE for o in before) or any(o[0] <= part[1] + SCOPE for o in after)
+class Parts:
+    """Spans by start, with the furthest end so far, so one look tells whether any of them meets an interval."""
+
+    def __init__(self, spans: list[tuple[int, int, str]]):
+        self.starts = sorted(s[0] for s in spans)
+        self.furthest = list(accumulate((s[1] for s in sorted(spans)), max))
+
+    def touch(self, start: int, end: int) -> bool:
+        """Whether a span begins at ``end`` or before and ends at ``start`` or after."""
+        i = bisect_right(self.starts, end)
+        return i > 0 and self.furthest[i - 1] >= start
+
+    def overlap(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end)
+        return i > 0 and self.furthest[i - 1] > start
 
 
 def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -57,20 +73,12 @@ def linked_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     points = [(m.start(), m.end(), "weak_endpoint") for m in ENDPOINT.finditer(text)] if "://" in text or re.search(r"(?i)(?:host|endpoint|server)[\"']?\x20*[:=]", text) else []
     if not (base or accounts or points):
         return []
-    taken = sorted(base + accounts + points)
-    starts = [p[0] for p in taken]
+    taken = Parts(base + accounts + points)
     tokens = [(m.start(), m.end(), "weak_secret") for m in TOKEN.finditer(text) if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])]
-
-    def free(t):
-        i = bisect_left(starts, t[1])
-        return all(p[1] <= t[0] for p in taken[max(0, i - 3) : i])
-
-    tokens = [t for t in tokens if free(t)]
-    secrets = sorted([p for p in base if p[2] != "access"] + tokens)
-    names = sorted(ids + accounts + points)
-    secret_at, name_at = [p[0] for p in secrets], [p[0] for p in names]
-    out = [t for t in tokens if _near(t, names, name_at)]
-    return out + [p for p in accounts + points if _near(p, secrets, secret_at)]
+    tokens = [t for t in tokens if not taken.overlap(t[0], t[1])]
+    secrets, names = Parts([p for p in base if p[2] != "access"] + tokens), Parts(ids + accounts + points)
+    out = [t for t in tokens if names.touch(t[0] - SCOPE, t[1] + SCOPE)]
+    return out + [p for p in accounts + points if secrets.touch(p[0] - SCOPE, p[1] + SCOPE)]
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:
@@ -107,3 +115,56 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
+
+
+def _either(word: str) -> str:
+    """A pattern for the word in either case, of ASCII letters only."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def _any(*names: str) -> str:
+    return "(?:" + "|".join(map(_either, names)) + ")"
+
+
+def _sql() -> str:
+    assign = _any("password", "passwd", "secret", "token", "api_?key") + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    account = _any("user(?:name)?", "login", "account", "client_?id") + r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
+    endpoint = r"""[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D"'<>]{4,}|""" + _any("host", "endpoint", "server") + r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:-]{4,}"""
+    patterns = {"assign": assign, "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{32,}", "weak_secret": "[A-Za-z0-9+/_-]{20,}", "weak_id": account, "weak_endpoint": endpoint}
+    quoted = {k: v.replace("'", "''") for k, v in patterns.items()}
+    found = "\n  UNION ALL ".join(
+        f"SELECT doc_id, {nr} AS nr, '{kind}' AS kind, ms, string_split_regex(t, '{p}') AS gaps, {f"regexp_extract_all(t, '{p}', 1)" if kind == "assign" else 'NULL::VARCHAR[]'} AS vs\n"
+        f"  FROM (SELECT doc_id, t, regexp_extract_all(t, '{p}') AS ms FROM d) WHERE len(ms) > 0"
+        for nr, (kind, p) in enumerate(quoted.items())
+    )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS (
+  {found}
+), u AS (
+  SELECT doc_id, nr, kind, unnest(range(1, len(ms) + 1)) AS i, ms, gaps, vs FROM f
+), p AS (
+  SELECT doc_id, nr, kind, i, ms[i] AS m, vs[i] AS v, sum(len(gaps[i])) OVER w + sum(len(ms[i])) OVER w AS b
+  FROM u WINDOW w AS (PARTITION BY doc_id, nr ORDER BY i)
+), s AS (
+  SELECT doc_id, nr, kind, b - len(m) AS a, b FROM p
+  WHERE CASE kind WHEN 'assign' THEN len(v) >= 8 WHEN 'access' THEN len(m) >= 16 WHEN 'hex' THEN len(m) >= 32
+                  WHEN 'weak_secret' THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') ELSE true END
+), free AS (
+  SELECT * FROM s WHERE kind <> 'weak_secret'
+     OR NOT EXISTS (SELECT 1 FROM s o WHERE o.doc_id = s.doc_id AND o.kind <> 'weak_secret' AND o.a < s.b AND o.b > s.a)
+), linked AS (
+  SELECT * FROM free x WHERE nr < 3
+     OR EXISTS (SELECT 1 FROM free o WHERE o.doc_id = x.doc_id AND o.a <= x.b + {SCOPE} AND o.b >= x.a - {SCOPE}
+                AND (o.kind IN ('assign', 'hex', 'weak_secret')) <> (x.kind = 'weak_secret'))
+), g AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, nr, b) FILTER (nr < 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, nr, b) AS spans
+  FROM linked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
+SQL = _sql()
