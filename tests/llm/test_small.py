@@ -394,70 +394,41 @@ def test_toxicity(spark, make):
     assert all(abs(again[i] - got[i].score) < 1e-9 for i in texts)
 
 
-def plain_models(rows, sure_word, sure_pair):
-    """Evidence of words, contexts and pairs by plain counting, from (words, fold); fold 0 is the toxic class."""
-    texts_of, pairs = Counter(), defaultdict(set)
-    for w, _ in rows:
-        texts_of.update(set(w))
+def plain_models(rows):
+    """Evidence of a text by plain counting, from (words, fold); fold 0 is the toxic class."""
+    texts_of, follows = Counter(), defaultdict(set)
     for w, fold in rows:
-        for i, x in enumerate(w):
-            if texts_of[x] >= toxicity.LEAST:
-                before = [None, None, *w]
-                pairs[(before[i + 1], x, fold)].add(before[i])
-    follows, contexts = defaultdict(Counter), defaultdict(Counter)
-    for (u, w, fold), seen in pairs.items():
-        c = "t" if fold == 0 else "p"
-        follows[w][c] += 1
-        contexts[(u, w)][c] += len(seen)
-    after = defaultdict(Counter)
-    for (u, _), c in contexts.items():
-        after[u].update(c)
-    n = {c: sum(f[c] for f in follows.values()) for c in "tp"}
-
-    def excess(count, expected, least):
+        texts_of.update(set(w))
+        for u, x in zip([None, *w], w):
+            follows[(x, fold)].add(u)
+    n = defaultdict(Counter)
+    for (w, fold), seen in follows.items():
+        if texts_of[w] >= toxicity.LEAST:
+            n[w]["t" if fold == 0 else "p"] += len(seen)
+    total = {c: sum(x[c] for x in n.values()) for c in "tp"}
+    least = toxicity.SURE * math.log(len(n))
+
+    def excess(count, expected):
         return count - expected if count > expected > 0 and count * math.log(count / expected) - count + expected >= least else 0
 
-    shared = {w: (f["t"] + f["p"]) / (n["t"] + n["p"]) for w, f in follows.items()}
-    x = {w: {c: excess(f[c], shared[w] * n[c], sure_word * math.log(len(follows))) for c in "tp"} for w, f in follows.items()}
-    free = {c: 1 - sum(e[c] for e in x.values()) / n[c] for c in "tp"}
-    p = {w: {c: x[w][c] / n[c] + free[c] * shared[w] for c in "tp"} for w in x}
-    y = {}
-    for (u, w), c in contexts.items():
-        if max(c["t"], c["p"]) >= toxicity.LEAST_PAIR:
-            e = {k: excess(c[k], after[u][k] / (after[u]["t"] + after[u]["p"]) * (c["t"] + c["p"]), sure_pair * math.log(len(contexts))) for k in "tp"}
-            if any(e.values()):
-                y[(u, w)] = e
-    share = {u: {k: max(1e-3, 1 - sum(e[k] for (v, _), e in y.items() if v == u) / max(after[u][k], 1e-9)) for k in "tp"} for u in after}
-
-    def evidence(text):
-        out = 0.0
-        for u, w in zip([None, *text], text):
-            chance = {c: p.get(w, {"t": free["t"], "p": free["p"]})[c] for c in "tp"}
-            if u in share:
-                chance = {c: (y[(u, w)][c] / max(after[u][c], 1e-9) if (u, w) in y else 0) + share[u][c] * chance[c] for c in "tp"}
-            out += math.log(chance["t"] / chance["p"]) - math.log(free["t"] / free["p"])
-        return out / max(1, len(text))
-
-    return evidence, len(y)
+    shared = {w: (x["t"] + x["p"]) / (total["t"] + total["p"]) for w, x in n.items()}
+    over = {w: {c: excess(x[c], shared[w] * total[c]) for c in "tp"} for w, x in n.items()}
+    free = {c: 1 - sum(x[c] for x in over.values()) / total[c] for c in "tp"}
+    p = {w: {c: over[w][c] / total[c] + free[c] * shared[w] for c in "tp"} for w in n}
+    assert all(abs(sum(x[c] for x in p.values()) - 1) < 1e-9 for c in "tp")
+    says = {w: math.log(p[w]["t"] / p[w]["p"]) - math.log(free["t"] / free["p"]) for w in n if any(over[w].values())}
+    return lambda text: sum(says.get(w, 0.0) for w in text) / max(1, len(text)), says
 
 
 def test_toxicity_against_plain_models(spark, make, monkeypatch):
-    """Words and pairs with evidence; few enough contexts that marks in 64 groups seldom meet, so counts are near exact."""
-    monkeypatch.setattr(toxicity, "MODEL_ROWS", 3)  # several parts
-    monkeypatch.setattr(toxicity, "_contexts", lambda mask: F.bit_count(mask).cast("double"))
+    """Groups of words before a word that meet make counts a little lower; the words are so few that this is rare."""
+    monkeypatch.setattr(toxicity, "MODEL_ROWS", 1)  # several parts
     r = random.Random(2)
     texts, labels = {}, []
     for i in range(400):
         w = [r.choice(VOCABULARY[:60]) for _ in range(40)]
-        if i % 4 == 0:
-            for _ in range(3):
-                w.insert(r.randint(0, len(w)), r.choice(["vile", "nasty", "rotten"]))
-            for _ in range(4):
-                at = r.randint(1, len(w))
-                w[at:at] = ["you", "lot"]
-        elif i % 4 == 1:
-            for _ in range(4):
-                w.insert(r.randint(0, len(w)), r.choice(["you", "lot"]))
+        for _ in range(3 if i % 4 == 0 else 0):
+            w.insert(r.randint(0, len(w)), r.choice(["vile", "nasty", "rotten"]))
         texts[i] = " ".join(w)
         labels.append((i, int(i % 4 == 0)))
     table = spark.createDataFrame(labels, "doc_id long, toxic int")
@@ -465,17 +436,15 @@ def test_toxicity_against_plain_models(spark, make, monkeypatch):
     fold = F.when(F.col("_toxic") == 1, 0).otherwise(F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(3)) + 1)
     rows = [(texts[x._id].split(), x.f) for x in known.select("_id", fold.alias("f")).collect()]
     assert len(rows) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in texts)
-    want, n_pairs = plain_models(rows, toxicity.SURE_WORD, toxicity.SURE_PAIR)
+    want, says = plain_models(rows)
     got = toxicity.evidence(make(texts).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")), model, "t").collect()
-    assert n_pairs and len(got) == len(texts)
-    # Words before a pair that fall into one of 64 groups count once, so counts of pairs are a little lower.
-    assert max(abs(x["all"] - want(texts[x._id].split())) for x in got) < 0.05
-    assert np.corrcoef([x["all"] for x in got], [want(texts[x._id].split()) for x in got])[0, 1] > 0.99
+    assert {"vile", "nasty", "rotten"} <= set(says) and len(got) == len(texts)
+    assert max(abs(x["all"] - want(texts[x._id].split())) for x in got) < 0.01
 
 
 def test_contexts_are_estimated(spark):
     r = random.Random(1)
-    for n in (0, 1, 5, 20, 60, 120):
+    for n in (0, 1, 5, 20, 60, 100):
         masks = []
         for _ in range(50):
             mask = 0
