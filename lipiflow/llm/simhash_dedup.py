@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lipiflow.llm.common import components, documents, join_by_size, join_skewed, stage
+from lipiflow.llm.common import components, documents, join_by_size, join_skewed, join_small, marked, marks, stage
 from lipiflow.llm.vector import Counter, find, mix, pieces, words
 
 RADIUS = 2
@@ -36,9 +36,11 @@ FEW = 384
 # The stage's near copies: word shingles and their similarity (Jaccard), see ``near_duplicates``.
 SHINGLE, SIMILARITY = 5, 0.8
 #: Sets whose shingles are counted for the order of prefixes, and common shingles broadcast (16 bytes each).
-COUNTED_SETS, COMMON_SHINGLES = 32_768, 500_000
+COUNTED_SETS, COMMON_SHINGLES = 16_384, 100_000
 #: Rounds of comparing with one text of a prefix shingle, rows per task of the last round, parts of the hash range.
 STARS, BUCKET_ROWS, CELLS = 2, 20_000, 64
+#: Rows of prefix shingles that lead to one group; a larger one is dealt into blocks, and every two blocks meet.
+MOST_ROWS = 60_000
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -311,37 +313,48 @@ def _prefixes(common, least: float):
     return run
 
 
-def _cells(batches):
-    """Counts of a set's shingles in CELLS parts of the hash range."""
-    import pyarrow as pa
-
-    for batch in batches:
-        counts = [np.bincount((np.frombuffer(x, np.uint64) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint32).tobytes() for x in batch.column("shingles").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.binary())], ["id", "cells"])
-
+def _bucket_links(least: float):
+    """Links that join the components of all similar sets which share a token; sets already joined aren't compared.
 
-def _bucket_pairs(least: float):
-    """All pairs of a token's sets that differ in component and may reach the similarity; no bound used here rules out a pair that does."""
+    No bound used here rules out a similar pair: sizes, places of the token in the
+    two prefixes, and shingle counts by part of the hash range.
+    """
     import pandas as pd
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["token", "size"])
-        token, size, at = (pdf[c].to_numpy(np.int64) for c in ("token", "size", "at"))
-        comp, ids = pd.factorize(pdf["comp"])[0], pdf["id"].to_numpy()
-        cells = np.frombuffer(b"".join(pdf["cells"]), np.uint32).reshape(-1, CELLS)
-        borders = np.append(np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])), len(token))
-        found = [np.zeros((0, 2), np.int64)]
+    def run(met: pd.DataFrame, content: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in content["shingles"]]
+        place = {i: n for n, i in enumerate(content["id"])}
+        cells = np.array([np.bincount((x % np.uint64(CELLS)).astype(np.int64), minlength=CELLS) for x in sets], np.int64).reshape(-1, CELLS)
+        met = met.sort_values(["token", "size"])
+        token, size, at = (met[c].to_numpy(np.int64) for c in ("token", "size", "at"))
+        who = np.array([place[i] for i in met["id"]], np.int64)
+        label = np.zeros(len(sets), np.int64)
+        label[who] = pd.factorize(met["comp"])[0]
+        failed, links = set(), []
+        borders = np.append(np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])), len(token)) if len(token) else []
         for low, high in zip(borders, borders[1:]):
             for i in range(low, high - 1):
                 j = np.arange(i + 1, low + np.searchsorted(size[low:high], size[i] / least + 1e-9, "right"))
-                j = j[comp[j] != comp[i]]
+                j = j[label[who[j]] != label[who[i]]]
                 need = least * (size[i] + size[j]) / (1 + least) - 1e-6
                 good = np.minimum(size[i] - at[i], size[j] - at[j]) >= need
                 j, need = j[good], need[good]
-                j = j[np.minimum(cells[i], cells[j]).sum(axis=1, dtype=np.int64) >= need]
-                found.append(np.stack([np.full(len(j), i), j], axis=1))
-        pairs = np.concatenate(found)
-        return pd.DataFrame({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]}).drop_duplicates()
+                j = j[np.minimum(cells[who[i]], cells[who[j]]).sum(axis=1) >= need]
+                for k in who[j].tolist():
+                    own = int(who[i])
+                    pair = (own, k) if own < k else (k, own)
+                    if label[own] == label[k] or pair in failed:
+                        continue
+                    x, y = sets[own], sets[k]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if both >= least * (len(x) + len(y) - both) - 1e-9:
+                        links.append(pair)
+                        label[label == label[k]] = label[own]
+                    else:
+                        failed.add(pair)
+        ids = content["id"].to_numpy()
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]})
 
     return run
 
@@ -372,8 +385,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all shingles, some shingle is among the first fifth of both.  Shingles common
     in a sample come last in that order.  Texts that share such a shingle are
     compared with one of them for STARS rounds, which join large groups by a pair
-    a text; then all pairs left between different groups are.  The exact
-    similarity decides on every pair.  Texts without words, null ones included,
+    a text; then those still in different groups are compared, until each is joined
+    with or told from all others.  The exact similarity decides on every pair.  Texts without words, null ones included,
     are copies of each other.  Rows of equal id are one row.  Other columns are
     ignored; an empty table gives an empty result.
     """
@@ -388,13 +401,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links, comps = None, None
 
+    def content_of(ids: DataFrame) -> DataFrame:
+        """The sets of some ids (a stage table, unique); no other set moves."""
+        some = marked(own.select("id", "shingles"), "id", marks(ids.select("id"), "id", "near-marks"), "_in").filter("_in").drop("_in")
+        return join_by_size(some, ids, "id", "inner")
+
     def verify(pairs: DataFrame) -> None:
         """Keeps the pairs that are similar, and joins components by them."""
         nonlocal links, comps
         pairs = stage(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
         total = pairs.count()
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-        content = stage(own.select("id", "shingles").join(ends, "id"), "near-content")
+        ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "near-ends")
+        content = stage(content_of(ends), "near-content")
         for end, column in (("a", "x"), ("b", "y")):
             pairs = join_skewed(pairs, content.select(F.col("id").alias(end), "n", F.col("shingles").alias(column)), end, "n", max(1, total), F.struct("a", "b")).drop("n")
         found = stage(pairs.mapInArrow(_similar(similarity), f"a {kind}, b {kind}"), "near-links")
@@ -408,36 +426,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Any order of the shingles is right; with the common ones last few texts meet that aren't similar.
     part = min(1.0, COUNTED_SETS / max(1, own.count()))
     counted = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(part * 1_000_000)).mapInArrow(_count_shingles, "token long, n long")
-    counted = counted.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1").orderBy(F.desc("n"), "token").limit(COMMON_SHINGLES).toPandas()
-    keys, weight = counted["token"].to_numpy(np.int64).view(np.uint64), counted["n"].to_numpy(np.int64)
+    counted = stage(counted.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1"), "near-counted")
+    # The most frequent ones, as many as may be broadcast; counts are at most those of the sample.
+    often = sorted(counted.groupBy("n").count().collect(), reverse=True)
+    total = np.cumsum([r["count"] for r in often])
+    least = min((r["n"] for r, t in zip(often, total) if t <= COMMON_SHINGLES), default=COUNTED_SETS + 1)
+    counted = counted.filter(F.col("n") >= least).toArrow()
+    keys, weight = np.asarray(counted["token"].to_numpy(), np.int64).view(np.uint64), np.asarray(counted["n"].to_numpy(), np.int64)
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], weight[order]))
     met = own.mapInArrow(_prefixes(common, similarity), f"token long, id {kind}, size long, at long")
     met = met.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("_n > 1").drop("_n")
     met = stage(met, "near-met")
 
-    def apart(met: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The rows of tokens that meet in more than one component, and these tokens with a row to compare with."""
+    def apart(met: DataFrame) -> DataFrame:
+        """The rows of tokens that meet in more than one component, with a row to compare with and the first component."""
         now = met.drop("comp").join(comps.select("id", F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         now = stage(now.select("token", "id", "size", "at", "comp"), "near-apart")
         head = F.min(F.struct(F.xxhash64("comp").alias("x"), F.xxhash64("id", F.lit(step)).alias("y"), "id", "size", "at", "comp")).alias("head")
-        tokens = stage(now.groupBy("token").agg(head, F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").drop("low", "high"), "near-tokens")
-        return join_skewed(now, tokens, "token", "n", now.count(), F.col("id")).filter("head is not null"), tokens
+        tokens = stage(now.groupBy("token").agg(head, F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").drop("high"), "near-tokens")
+        return join_skewed(now, tokens, "token", "n", now.count(), F.col("id")).filter("head is not null")
 
     for step in range(STARS):
-        now, _ = apart(met)
-        met = stage(now, "near-met")
+        met = stage(apart(met), "near-met")
         reach = F.least(F.col("size") - F.col("at"), F.col("head.size") - F.col("head.at")) >= F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("head.size")) - 1e-6
         stars = met.filter(F.col("comp") != F.col("head.comp")).filter(reach)
         verify(stars.groupBy("id").agg(F.min("head").alias("head")).select(F.col("id").alias("a"), F.col("head.id").alias("b")))
         met = met.select("token", "id", "size", "at")
 
+    # Tokens of the same first component go together, as mostly the same texts have them, so a text's content goes to few tasks.
     step = STARS
-    met = stage(apart(met)[0].select("token", "id", "size", "at", "comp"), "near-met")
-    cells = stage(own.join(met.select("id").distinct(), "id", "left_semi").mapInArrow(_cells, f"id {kind}, cells binary"), "near-cells")
+    met = stage(apart(met).select("token", "id", "size", "at", "comp", "low"), "near-met")
     groups = max(1, met.count() // BUCKET_ROWS)
-    pairs = met.join(cells, "id").withColumn("_group", F.pmod(F.xxhash64("token"), F.lit(groups)))
-    verify(pairs.groupBy("_group").applyInPandas(_bucket_pairs(similarity), f"a {kind}, b {kind}"))
+    large = stage(met.groupBy("low").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / MOST_ROWS).cast("int")).filter("blocks > 1"), "near-large")
+    met = join_small(met, large.select("low", "blocks"), ["low"])
+    own_block = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.xxhash64("low", F.least(own_block, k), F.greatest(own_block, k)))
+    met = met.withColumn("_group", F.explode(F.when(F.col("blocks").isNull(), F.array(F.pmod(F.xxhash64("low"), F.lit(groups)))).otherwise(meets)))
+    met = stage(met.select("_group", "token", "id", "size", "at", "comp"), "near-grouped")
+    places = stage(met.select("_group", "id").distinct(), "near-places")
+    content = places.join(content_of(stage(places.select("id").distinct(), "near-place-ids")), "id")
+    found = met.groupBy("_group").cogroup(content.groupBy("_group")).applyInPandas(_bucket_links(similarity), f"a {kind}, b {kind}")
+    comps = stage(components(stage(links.union(stage(found, "near-links")), "near-all-links"), "near"), "near-components")
 
     table = stage(sets.join(comps, "id", "left").select("set_id", "n", F.coalesce("component", "id").alias("component_id")), "near-table")
     out = join_skewed(rows.select("id", "set_id"), table, "set_id", "n", rows.count(), F.col("id"))

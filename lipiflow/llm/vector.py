@@ -46,6 +46,9 @@ def pieces(batch: pa.RecordBatch, column: str, most_rows: int = 4096, most_bytes
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
+    x = np.asarray(x, np.uint64)
+    if not x.ndim:  # numpy warns of overflow in single numbers only
+        return mix(x[None])[0]
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
     x = x ^ (x >> np.uint64(27))
