@@ -2,40 +2,45 @@
 
 Each text becomes a stream of ids that a rolling hash cuts into chunks.  A chunk
 is stored once, under the hash of its bytes.  A recipe lists a document's chunks
-in order and carries their Merkle root; a manifest has one line per range of
-recipes with the root over its documents.  Reading back checks every chunk
-against its address and every recipe against its root.
+in order and carries their Merkle root.  Recipes are written as parts, ranges of
+ids in ascending order; the manifest has a line per part, with the root over its
+documents and where its ids begin in the whole stream.  Reading checks every chunk
+against its address, every recipe against its root, and every part against the
+manifest, so lost, added and changed files are all noticed.
 
 The store is a folder of Parquet tables:
-    chunks/    address binary(16), n int, ids binary (little-endian unsigned 16-bit,
-               32-bit where an id needs it: width int)
-    recipes/   doc_id, start, n_tokens, root, addresses; files in ascending order
-    manifest/  part, first_id, last_id, start, n_tokens, root
+    store/kind=chunk    hashes [address binary(16)], n int, data binary (little-endian unsigned
+                        16-bit ids, 32-bit where one needs it: width int)
+    recipes/kind=recipe part, nr (from 0), doc_id, offset (ids before it in the part), n_tokens, root, addresses
+    manifest/           part, first_id, last_id, start, n_docs, n_tokens, root
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import os
 import re
 from array import array
 from bisect import bisect_left
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lipiflow.llm.common import documents, join_skewed, running_total, shuffle_parts, stage, stage_path
+from lipiflow.llm.common import documents, join_skewed, shuffle_parts, stage, stage_path
 
 END_ID = 2
-#: A chunk ends where the rolling hash of the last WINDOW ids is a multiple of MEAN,
+#: A chunk ends where the rolling hash of the last WINDOW ids is in the lowest MEAN-th of its range,
 #: but has LEAST to MOST ids.
 WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 1024
 #: Words (in each of two generations) and stems whose ids a Python worker remembers, and chunks a task knows it has emitted.
-WORDS_KEPT, STEMS_KEPT = 500_000, 400_000
+WORDS_KEPT, STEMS_KEPT = 1_000_000, 1_500_000
 CHUNKS_KEPT = 200_000
-PUNCTUATION = ".,!?;:()-"
 #: Plain and accented Latin letters, without U+0130, whose small form is two characters.
-LATIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+").fullmatch
+LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F"
+#: A plain word, of such letters and ASCII characters: letters, punctuation without an apostrophe, and the rest.
+PLAIN = re.compile(f"([{LETTERS}]*)([!-&(-/:-@\\[-`{{-~]*)([!-~{LETTERS}]*)").fullmatch
 
 _worker: dict = {}
 
@@ -51,31 +56,39 @@ class Encoder:
 
     Its normaliser and its splitter never look across white space, so a text's
     ids are those of its words (cut at space and newline) one after another.  A
-    word of plain or accented Latin letters, which normalisation leaves composed
-    as they are, goes straight to the BPE model, as does punctuation after it;
-    every other word takes the whole tokenizer.
+    word of ASCII characters and accented Latin letters stays as normalisation
+    leaves it but for its case, so it is lowered and split here, and its parts go
+    to the tokenizer's BPE model; every other word takes the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the executors' tasks are the parallel ones
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = _Words(self.word)
         self.stems: dict[str, bytes] = {}
         self.letters = self._bytes_of_letters()
+        # Fixed value: such a tokenizer's split of a plain word; each part goes to the model on its own.
+        self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}\u0250-\uFFFF]+|[0-9]|[^0-9{LETTERS}\u0250-\uFFFF]+").findall
+        # Tokens that the tokenizer looks for before anything else, in their own case.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) if added else "(?!)").search
         # Such a tokenizer marks word ends, lowers letters and drops white space.
         self.by_word = getattr(self.model, "end_of_word_suffix", None) == "</w>" and self.tokenizer.normalizer.normalize_str(" A\n") == " a "
+        self.by_word &= not any(re.search(r"\s", t) or re.fullmatch(r"\w*", t) for t in added)
 
     def _bytes_of_letters(self) -> dict[int, str]:
-        """The letters of the byte alphabet for each accented Latin letter."""
+        """The letters of the byte alphabet for the small form of every accented Latin letter (some lie beyond the class)."""
         from tokenizers.pre_tokenizers import ByteLevel
 
         split = ByteLevel(add_prefix_space=False, use_regex=False)
-        return {c: split.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250)}
+        small = {ord(c) for code in range(0xC0, 0x250) for c in chr(code).lower()}
+        return {c: split.pre_tokenize_str(chr(c))[0][0] for c in small if c > 0x7F}
 
     def stem(self, stem: str) -> bytes:
+        """Ids of a lowered part of a word."""
         found = self.stems.get(stem)
         if found is None:
             if len(self.stems) > STEMS_KEPT:
@@ -85,33 +98,49 @@ class Encoder:
         return found
 
     def word(self, word: str) -> bytes:
-        body = word.rstrip(PUNCTUATION)
-        if LATIN(body):
-            ids = self.stem(body.lower())
-            return ids + self.stem(word[len(body) :]) if len(body) < len(word) else ids
-        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
+        found = PLAIN(word)
+        front, marks, rest = found.groups() if found else ("", "", word)
+        if not found or (marks or rest) and self.added(word):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if rest:
+            return b"".join(map(self.stem, self.split(word.lower())))
+        if not marks:
+            return self.stem(front.lower()) if front else b""
+        return self.stem(front.lower()) + self.stem(marks) if front else self.stem(marks)
+
+    def text(self, text: str) -> bytes:
+        """Ids of a text as unsigned 32-bit numbers."""
         if not self.by_word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if text.isascii():  # nothing to compose, so letters may be lowered first
-            text = text.lower()
-        parts = text.replace("\n", " ").split(" ")
-        try:
-            return np.frombuffer(b"".join([*map(self.known.__getitem__, parts)]), np.uint32)
-        except KeyError:
-            if len(self.known) > WORDS_KEPT:
-                self.older, self.known = self.known, {}
-            known, older = self.known, self.older
-            for w in parts:
-                if w not in known:
-                    known[w] = older.get(w) or self.word(w)
-            return np.frombuffer(b"".join([*map(known.__getitem__, parts)]), np.uint32)
+            low = text.lower()
+            text = text if self.added(low) else low
+        return b"".join([*map(self.known.__getitem__, text.replace("\n", " ").split(" "))])
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.text(text), np.uint32)
+
+
+class _Words(dict):
+    """Ids of words met so far; a word not met is encoded.  Beyond WORDS_KEPT words only those met again stay."""
+
+    def __init__(self, encode):
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > WORDS_KEPT:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
 
 
 def _gear() -> np.ndarray:
     if "gear" not in _worker:
-        _worker["gear"] = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 63, 1 << 16, np.int64).view(np.uint64)
+        _worker["gear"] = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 32, 1 << 16, np.uint32)
     return _worker["gear"]
 
 
@@ -120,10 +149,9 @@ def cut(ids: np.ndarray) -> list[int]:
     n = len(ids)
     if n <= LEAST:
         return [n]
-    sums = np.cumsum(_gear()[ids & 0xFFFF], dtype=np.uint64)
-    rolling = sums.copy()
-    rolling[WINDOW:] -= sums[:-WINDOW]
-    hits = (np.flatnonzero((rolling * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) & np.uint64(MEAN - 1) == 0) + 1).tolist()
+    sums = np.cumsum(_gear()[ids & 0xFFFF], dtype=np.uint32)
+    sums[WINDOW:] -= sums[:-WINDOW].copy()
+    hits = (np.flatnonzero(sums * np.uint32(0x9E3779B1) < np.uint32((1 << 32) // MEAN)) + 1).tolist()
     ends, at = [], 0
     while n - at > LEAST:
         i = bisect_left(hits, at + LEAST)
@@ -155,7 +183,10 @@ def _encode(path: str):
     def run(batches):
         import pyarrow as pa
 
-        encoder = _worker.get(path) or _worker.setdefault(path, Encoder(path))
+        if path not in _worker:
+            _worker[path] = Encoder(path)
+            gc.freeze()  # the collector needn't look through a million remembered words again and again
+        encoder = _worker[path]
         seen: set[bytes] = set()
         end = np.array([END_ID], np.uint32)
 
@@ -192,19 +223,78 @@ def _encode(path: str):
     return run
 
 
+class Merkle:
+    """The root that ``merkle`` gives, from hashes that come one by one: whole subtrees wait for their right neighbour."""
+
+    def __init__(self):
+        self.peaks: list[tuple[int, bytes]] = []
+
+    def add(self, one: bytes) -> None:
+        height, node = 0, hashlib.blake2b(b"\0" + one, digest_size=16).digest()
+        while self.peaks and self.peaks[-1][0] == height:
+            node = hashlib.blake2b(b"\1" + self.peaks.pop()[1] + node, digest_size=16).digest()
+            height += 1
+        self.peaks.append((height, node))
+
+    def root(self) -> bytes:
+        if not self.peaks:
+            return merkle([])
+        node = self.peaks[-1][1]
+        for _, left in reversed(self.peaks[:-1]):
+            node = hashlib.blake2b(b"\1" + left + node, digest_size=16).digest()
+        return node
+
+
 def _once(batches):
-    """Of a partition's chunks (all copies of a chunk are in one) the first of each."""
+    """Of a partition's chunks, sorted so that copies are neighbours, the first of each."""
+    import pyarrow as pa
+
+    last, seen = None, set()  # the chunks that share the last row's deal
+    for batch in batches:
+        deal = batch.column("_deal").to_numpy()
+        again = np.concatenate([[deal[0] == last], deal[1:] == deal[:-1]]) if len(deal) else np.zeros(0, bool)
+        pairs = again | np.append(again[1:], True)  # rows with a neighbour of the same deal, and the batch's last
+        keep = np.ones(len(deal), bool)
+        for i in np.flatnonzero(pairs):
+            if not again[i]:
+                seen = set()
+            if batch.column("kind")[i].as_py() == "chunk":
+                key = batch.column("hashes")[i][0].as_py()
+                keep[i] = key not in seen
+                seen.add(key)
+            last = deal[i]
+        yield batch.filter(pa.array(keep))
+
+
+RECIPE = "kind string, part int, nr long, doc_id {id}, last_id {id}, offset long, n_tokens long, root binary, addresses array<binary>"
+
+
+def _number(batches):
+    """Recipes of a sorted part, numbered and with the ids before them, and after them the part's line of the manifest."""
     import pyarrow as pa
+    from pyspark import TaskContext
 
-    seen: set[bytes] = set()
+    part, nr, total, tree, first, last, kinds = TaskContext.get().partitionId(), 0, 0, Merkle(), None, None, None
+    names = ["kind", "part", "nr", "doc_id", "last_id", "offset", "n_tokens", "root", "addresses"]
     for batch in batches:
-        keep = []
-        for kind, hashes in zip(batch.column("kind").to_pylist(), batch.column("hashes").to_pylist()):
-            new = kind != "chunk" or hashes[0] not in seen
-            if new and kind == "chunk":
-                seen.add(hashes[0])
-            keep.append(new)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        n, ids = batch.num_rows, batch.column("_id")
+        if not n:
+            continue
+        kinds = (ids.type, batch.column("root").type, batch.column("addresses").type)
+        sizes = batch.column("n_tokens").to_numpy()
+        after = np.cumsum(sizes)
+        for root in batch.column("root").to_pylist():
+            tree.add(root)
+        first = ids[0].as_py() if nr == 0 else first
+        last = ids[n - 1].as_py()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(["recipe"] * n), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(nr, nr + n)), ids, pa.nulls(n, ids.type), pa.array(total + after - sizes), batch.column("n_tokens"), batch.column("root"), batch.column("addresses")], names
+        )
+        nr, total = nr + n, total + int(after[-1])
+    if nr:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(["part"]), pa.array([part], pa.int32()), pa.array([nr]), pa.array([first], kinds[0]), pa.array([last], kinds[0]), pa.array([0]), pa.array([total]), pa.array([tree.root()], kinds[1]), pa.nulls(1, kinds[2])], names
+        )
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -214,28 +304,40 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     schema = STAGED.format(id=kind)
     rows = rows.mapInArrow(_encode(tokenizer or default_tokenizer()), schema)
-    rows = rows.repartition(shuffle_parts(spark), "_deal").mapInArrow(_once, schema)
+    rows = rows.repartition(shuffle_parts(spark), "_deal").sortWithinPartitions("_deal").mapInArrow(_once, schema)
     rows.write.option("compression", "zstd").partitionBy("kind").parquet(f"{path}/store")
     stored = spark.read.schema(schema).parquet(f"{path}/store")
     recipes = stored.filter("kind = 'recipe'").select("_id", F.col("n").cast("long").alias("n_tokens"), F.col("data").alias("root"), F.col("hashes").alias("addresses"))
-    recipes = running_total(recipes, [], ["_id"], "n_tokens", "token-recipes").withColumnRenamed("before", "start")
-    recipes = recipes.select(F.col("_id").alias("doc_id"), "start", "n_tokens", "root", "addresses")
-    recipes.repartitionByRange(shuffle_parts(spark), "start").sortWithinPartitions("start").write.option("compression", "zstd").parquet(f"{path}/recipes")
-    listed = spark.read.parquet(f"{path}/recipes").withColumn("part", F.col("_metadata.file_name"))
-    parts = listed.groupBy("part").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("start", "root"))).alias("docs"))
-    parts = parts.select("part", "first_id", "last_id", "start", "n_tokens", F.transform("docs", lambda d: d["root"]).alias("roots"))
-    schema = f"part string, first_id {kind}, last_id {kind}, start long, n_tokens long, root binary"
-    parts.mapInArrow(_part_roots, schema).write.parquet(f"{path}/manifest")
-
-
-def _part_roots(batches):
-    """One root over the roots of a recipe file's documents."""
+    # Rows alike are told apart by their place, so that many of them fill several parts.
+    order = ["_id", "root", "_place"]
+    recipes = recipes.withColumn("_place", F.monotonically_increasing_id())
+    recipes = recipes.repartitionByRange(shuffle_parts(spark), *order).sortWithinPartitions(*order).drop("_place").mapInArrow(_number, RECIPE.format(id=kind))
+    recipes.write.option("compression", "zstd").partitionBy("kind").parquet(f"{path}/recipes")
+    parts = spark.read.schema(RECIPE.format(id=kind)).parquet(f"{path}/recipes").filter("kind = 'part'")
+    before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per part
+    parts = parts.select("part", F.col("doc_id").alias("first_id"), "last_id", F.coalesce(before, F.lit(0)).alias("start"), F.col("nr").alias("n_docs"), "n_tokens", "root")
+    parts.coalesce(1).write.parquet(f"{path}/manifest")
+
+
+def _roots(batches):
+    """(part, n_docs, n_tokens, root) of recipes sorted by part and number; a number missing or doubled spoils the root."""
     import pyarrow as pa
 
+    part, nr, total, tree = None, 0, 0, Merkle()
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([nr]), pa.array([total]), pa.array([tree.root()], pa.binary())], ["part", "n_docs", "n_tokens", "root"])
+
     for batch in batches:
-        roots = pa.array([merkle(r) for r in batch.column("roots").to_pylist()], pa.binary())
-        keep = batch.drop_columns(["roots"])
-        yield pa.RecordBatch.from_arrays([*keep.columns, roots], [*keep.schema.names, "root"])
+        for p, i, offset, n, root in zip(*[batch.column(c).to_pylist() for c in ("part", "nr", "offset", "n_tokens", "root")]):
+            if p != part:
+                if part is not None:
+                    yield out()
+                part, nr, total, tree = p, 0, 0, Merkle()
+            tree.add(root if (i, offset) == (nr, total) else b"")
+            nr, total = nr + 1, total + n
+    if part is not None:
+        yield out()
 
 
 def _shift_tables() -> list[np.ndarray]:
@@ -287,6 +389,15 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], ["address", "n", "crc"])
 
 
+def _rooted(batches):
+    """Recipes as they are; fails on one whose chunks don't fit its root."""
+    for batch in batches:
+        for root, addresses in zip(batch.column("root").to_pylist(), batch.column("addresses").to_pylist()):
+            if merkle(addresses) != root:
+                raise ValueError("a recipe does not fit its root")
+        yield batch.drop_columns(["root"])
+
+
 def _assemble(batches):
     import pyarrow as pa
 
@@ -305,32 +416,74 @@ def _assemble(batches):
         after = done[ends - 1][rows] - done
         moved = shift(crc, after * 4)
         whole = np.bitwise_xor.reduceat(moved, ends - sizes) if len(moved) else moved
-        roots = [merkle(a) == r for a, r in zip(batch.column("addresses").to_pylist(), batch.column("root").to_pylist())]
-        if not all(roots) or (total != np.asarray(batch.column("n_tokens").to_numpy())).any():
+        if (total != np.asarray(batch.column("n_tokens").to_numpy())).any():
             raise ValueError("a document does not fit its recipe")
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(total), pa.array(whole.astype(np.int64))], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
+def _decode(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        ids = [[i for p in parts for i in np.frombuffer(p["data"], np.uint16 if p["width"] == 2 else np.uint32).tolist()] for parts in batch.column("parts").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "start", "ids"])
+
+
+def _recipes(spark: SparkSession, path: str) -> DataFrame:
+    """The recipes (_row, doc_id, start, n_tokens, root, addresses), once their parts fit the manifest."""
+    manifest = spark.read.parquet(f"{path}/manifest")
+    recipes = spark.read.schema(RECIPE.format(id=dict(manifest.dtypes)["first_id"])).parquet(f"{path}/recipes").filter("kind = 'recipe'")
+    sorted_parts = recipes.select("part", "nr", "offset", "n_tokens", "root").repartition(shuffle_parts(spark), "part").sortWithinPartitions("part", "nr")
+    found = sorted_parts.mapInArrow(_roots, "part int, n_docs long, n_tokens long, root binary")
+    said = manifest.select("part", F.struct("n_docs", "n_tokens", "root").alias("said"))
+    wrong = found.select("part", F.struct("n_docs", "n_tokens", "root").alias("found")).join(said, "part", "full_outer").filter(~F.col("said").eqNullSafe(F.col("found")))
+    # Where a part's ids begin follows from the parts before it.
+    before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    moved = manifest.withColumn("_before", F.coalesce(before, F.lit(0))).filter("start <> _before")
+    for row in wrong.select("part").union(moved.select("part")).limit(1).collect():
+        raise ValueError(f"part {row.part} of the recipes does not fit the manifest")
+    starts = manifest.select("part", F.col("start").alias("_start"))  # a row per part
+    rows = recipes.join(F.broadcast(starts), "part")
+    rows = rows.select((F.col("part").cast("long") * F.lit(1 << 40) + F.col("nr")).alias("_row"), "doc_id", (F.col("_start") + F.col("offset")).alias("start"), "n_tokens", "root", "addresses")
+    return rows
+
+
+def _with_chunks(spark: SparkSession, path: str, recipes: DataFrame, chunks: DataFrame, fields: list[str]) -> DataFrame:
+    """(doc_id, start, n_tokens, parts): ``fields`` of each document's chunks in order."""
+    rooted = recipes.select("_row", "root", "addresses").mapInArrow(_rooted, "_row long, addresses array<binary>")
+    each = stage(rooted.select("_row", F.posexplode("addresses").alias("at", "address")), "token-refs")
+    used = each.groupBy("address").agg(F.count(F.lit(1)).alias("used"))
+    table = stage(chunks.join(used, "address"), "token-chunks")
+    each = join_skewed(each, table, "address", "used", each.count(), F.struct("_row", "at"))
+    parts = each.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", F.struct(*fields).alias("p")))).alias("parts")).select("_row", F.transform("parts", lambda p: p["p"]).alias("parts"))
+    return recipes.select("_row", "doc_id", "start", "n_tokens").join(parts, "_row").select("doc_id", "start", "n_tokens", "parts")
+
+
+def _chunks(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    stored = spark.read.schema(STAGED.format(id=kind)).parquet(f"{path}/store")
+    return stored.filter("kind = 'chunk'").select("hashes", "width", "data")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per document of a store: doc_id, start, n_tokens, ids_crc32, all taken from its files.
 
     Every stored chunk is read once; a document's CRC-32 is put together from its
     chunks' without moving ids between executors.
     """
-    recipes = spark.read.parquet(f"{path}/recipes")
-    stored = spark.read.schema(STAGED.format(id=dict(recipes.dtypes)["doc_id"])).parquet(f"{path}/store")
-    chunks = stored.filter("kind = 'chunk'").select("hashes", "width", "data").mapInArrow(_verify, "address binary, n long, crc long")
-    refs = recipes.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "start", "n_tokens", "root", "addresses")
-    refs = stage(refs, "token-refs")
-    each = refs.select("_row", F.posexplode("addresses").alias("at", "address"))
-    used = each.groupBy("address").agg(F.count(F.lit(1)).alias("used"))
-    table = stage(chunks.join(used, "address"), "token-chunks")
-    total = each.count()
-    each = join_skewed(each, table, "address", "used", total, F.struct("_row", "at"))
-    parts = each.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", F.struct("n", "crc").alias("p")))).alias("parts")).select("_row", F.transform("parts", lambda p: p["p"]).alias("parts"))
-    whole = refs.join(parts, "_row").select("doc_id", "start", "n_tokens", "root", "addresses", "parts")
-    kind = dict(whole.dtypes)["doc_id"]
-    return whole.mapInArrow(_assemble, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    recipes = _recipes(spark, path)
+    kind = dict(recipes.dtypes)["doc_id"]
+    chunks = _chunks(spark, path, kind).mapInArrow(_verify, "address binary, n long, crc long")
+    return _with_chunks(spark, path, recipes, chunks, ["n", "crc"]).mapInArrow(_assemble, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+
+
+def read_ids(spark: SparkSession, path: str, doc_ids: list | None = None) -> DataFrame:
+    """(doc_id, start, ids): the ids of all documents, or of some, put together from their chunks."""
+    recipes = _recipes(spark, path)
+    if doc_ids is not None:
+        recipes = recipes.filter(F.col("doc_id").isin(doc_ids))
+    kind = dict(recipes.dtypes)["doc_id"]
+    chunks = _chunks(spark, path, kind).select(F.col("hashes")[0].alias("address"), "width", "data")
+    return _with_chunks(spark, path, recipes, chunks, ["width", "data"]).select("doc_id", "start", "parts").mapInArrow(_decode, f"doc_id {kind}, start long, ids array<long>")
 
 
 def store_and_read(docs: DataFrame, path: str | None = None, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
