@@ -12,6 +12,7 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ BROADCAST_IDS = 300_000
 #: Keys holding over 1/HOT_PARTS of all rows are joined by broadcast.  By the
 #: pigeonhole principle there are fewer than HOT_PARTS of them, whatever the data.
 HOT_PARTS = 1_000
+#: Edges whose components one task may find, 16 bytes each and their ids.
+FOREST_EDGES = 1_000_000
 #: Bits of a bitmap per marked key, and at most (32 MiB, broadcast).  A fuller bitmap only lets more rows through.
 KEY_BITS, MOST_BITS = 16, 1 << 28
 SLICE_BITS = 32_768  # of Spark's bitmap functions
@@ -49,7 +52,17 @@ def stage(df: DataFrame, name: str, *, partition_by: tuple[str, ...] = ()) -> Da
     path = stage_path(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table.stage_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stage tables that nothing to be computed reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stage_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_stages(spark: SparkSession) -> None:
@@ -177,16 +190,57 @@ def running_total(df: DataFrame, group: list[str], order: list[str], value: str,
     return joined.select(*df.columns, (F.col("before") + F.coalesce("_offset", F.lit(0))).alias("before"))
 
 
+def lowest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest node reachable from each of n nodes over the edges (a, b)."""
+    label = np.arange(n)
+    while True:
+        far = label[a] != label[b]
+        if not far.any():
+            return label
+        a, b = a[far], b[far]
+        x, y = label[a], label[b]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label != label[label]).any():
+            label = label[label]
+
+
+def _forest(batches):
+    """(a, b): every id of the edges met, FOREST_EDGES at a time, with the smallest id it reaches by these."""
+    import pyarrow as pa
+
+    def joined(parts: list):
+        table = pa.Table.from_batches(parts)
+        ends = np.concatenate([table.column(c).to_numpy() for c in ("a", "b")])
+        ids, at = np.unique(ends, return_inverse=True)
+        low = lowest(at[: len(table)], at[len(table) :], len(ids))
+        kind = table.schema.field("a").type
+        yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(ids[low], kind)], ["a", "b"])
+
+    parts, held = [], 0
+    for batch in batches:
+        parts, held = [*parts, batch], held + batch.num_rows
+        if held >= FOREST_EDGES:
+            yield from joined(parts)
+            parts, held = [], 0
+    if held:
+        yield from joined(parts)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(id, component)``, component = smallest id reachable.
 
-    Alternates the large-star and small-star steps, each one narrow shuffle with
+    Each task first replaces the edges it holds by those of a forest that connects
+    the same ids.  If fewer than FOREST_EDGES are left, one task joins these.  Else
+    large-star and small-star steps alternate, each one narrow shuffle with
     map-side minima, until no edge changes; every round is a stage table.  Ids
     without an edge do not occur.  Self-loops and repeated edges are harmless.
     """
-    spark = edges.sparkSession
-    e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
-    e = stage(e, f"{name}-edges")
+    kind = dict(edges.dtypes)["a"]
+    e = edges.select("a", "b").filter("a <> b").mapInArrow(_forest, f"a {kind}, b {kind}")
+    e = stage(e, f"{name}-forest")
+    if e.limit(FOREST_EDGES + 1).count() < FOREST_EDGES:
+        return e.coalesce(1).mapInArrow(_forest, f"a {kind}, b {kind}").select(F.col("a").alias("id"), F.col("b").alias("component"))
+    e = stage(e.filter("a > b").distinct(), f"{name}-edges")
     seen = None
     while True:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lipiflow.llm.common import components, documents, join_by_size, join_skewed, join_small, marked, marks, stage
+from lipiflow.llm.common import BROADCAST_IDS, components, discard, documents, join_skewed, join_small, marked, marks, stage
 from lipiflow.llm.vector import Counter, find, mix, pieces, words
 
 RADIUS = 2
@@ -246,7 +246,7 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n_rows: int, k: int) -> tuple
 
 
 def _sets(shingle: int, whole: bool):
-    """Per row its shingle set's size, with the set itself (ascending hashes), or else the set's hash and SimHash."""
+    """Per row (with its ``n``) its shingle set's size and the set itself (ascending hashes), or else the set's hash and SimHash."""
 
     def run(batches):
         import pyarrow as pa
@@ -259,7 +259,7 @@ def _sets(shingle: int, whole: bool):
                 sets = [np.unique(grams[a:b]) for a, b in zip(borders, borders[1:])]
                 sizes = pa.array([len(x) for x in sets], pa.int64())
                 if whole:
-                    yield pa.RecordBatch.from_arrays([piece.column("_id"), sizes, pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "size", "shingles"])
+                    yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("n"), sizes, pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "n", "size", "shingles"])
                     continue
                 ones = [np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for x in sets]
                 fps = np.array([np.packbits(n * 2 > len(x), bitorder="little").view(np.uint64)[0] for n, x in zip(ones, sets)], np.uint64)
@@ -396,26 +396,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = stage(texts.mapInArrow(_sets(shingle, False), f"id {kind}, set_id long, fp long"), "near-rows")
     sets = stage(rows.groupBy("set_id").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "near-sets")
     named = sets.filter("id is not null")
-    own = join_by_size(texts, named.select(F.col("id").alias("_id")).distinct(), "_id", "left_semi")
-    own = stage(own.mapInArrow(_sets(shingle, True), f"id {kind}, size long, shingles binary"), "near-own")
-
+    total = named.count()
     links, comps = None, None
 
+    def sets_of(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(_sets(shingle, True), f"id {kind}, n long, size long, shingles binary")
+
     def content_of(ids: DataFrame) -> DataFrame:
-        """The sets of some ids (a stage table, unique); no other set moves."""
-        some = marked(own.select("id", "shingles"), "id", marks(ids.select("id"), "id", "near-marks"), "_in").filter("_in").drop("_in")
-        return join_by_size(some, ids, "id", "inner")
+        """The sets of the ids in a stage table (id, n), made from their texts; no other text moves."""
+        table = ids.select(F.col("id").alias("_id"), "n")
+        if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+            return sets_of(texts.join(F.broadcast(table), "_id"))
+        some = marked(texts, "_id", marks(ids.select("id"), "id", "near-marks"), "_in").filter("_in").drop("_in")
+        return sets_of(some.join(table, "_id"))
+
+    def each_set() -> DataFrame:
+        """A text of every set; beyond the broadcast bound a bitmap may let copies through, which cost time and change nothing."""
+        some = texts.filter("_id is not null").withColumn("n", F.lit(1).cast("long"))
+        if total <= BROADCAST_IDS:
+            return some.join(F.broadcast(named.select(F.col("id").alias("_id")).distinct()), "_id", "left_semi")
+        return marked(some, "_id", marks(named.select("id"), "id", "near-marks"), "_in").filter("_in").drop("_in")
 
     def verify(pairs: DataFrame) -> None:
         """Keeps the pairs that are similar, and joins components by them."""
         nonlocal links, comps
-        pairs = stage(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
-        total = pairs.count()
-        ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "near-ends")
+        met = stage(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
+        ends = stage(met.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "near-ends")
         content = stage(content_of(ends), "near-content")
+        pairs = met
         for end, column in (("a", "x"), ("b", "y")):
-            pairs = join_skewed(pairs, content.select(F.col("id").alias(end), "n", F.col("shingles").alias(column)), end, "n", max(1, total), F.struct("a", "b")).drop("n")
+            pairs = join_skewed(pairs, content.select(F.col("id").alias(end), "n", F.col("shingles").alias(column)), end, "n", max(1, met.count()), F.struct("a", "b")).drop("n")
         found = stage(pairs.mapInArrow(_similar(similarity), f"a {kind}, b {kind}"), "near-links")
+        discard(met, ends, content)
         links = found if links is None else links.union(found)
         comps = stage(components(links, "near"), "near-components")
 
@@ -424,39 +436,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     verify(hamming_edges(heads.select(F.lit(0).alias("space"), "fp", F.col("head").alias("id")), "near").union(equal))
 
     # Any order of the shingles is right; with the common ones last few texts meet that aren't similar.
-    part = min(1.0, COUNTED_SETS / max(1, own.count()))
-    counted = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(part * 1_000_000)).mapInArrow(_count_shingles, "token long, n long")
+    part = min(1.0, COUNTED_SETS / max(1, total))
+    counted = sets_of(each_set().filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(part * 1_000_000))).mapInArrow(_count_shingles, "token long, n long")
     counted = stage(counted.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1"), "near-counted")
     # The most frequent ones, as many as may be broadcast; counts are at most those of the sample.
     often = sorted(counted.groupBy("n").count().collect(), reverse=True)
-    total = np.cumsum([r["count"] for r in often])
-    least = min((r["n"] for r, t in zip(often, total) if t <= COMMON_SHINGLES), default=COUNTED_SETS + 1)
+    so_far = np.cumsum([r["count"] for r in often])
+    least = min((r["n"] for r, t in zip(often, so_far) if t <= COMMON_SHINGLES), default=COUNTED_SETS + 1)
     counted = counted.filter(F.col("n") >= least).toArrow()
     keys, weight = np.asarray(counted["token"].to_numpy(), np.int64).view(np.uint64), np.asarray(counted["n"].to_numpy(), np.int64)
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], weight[order]))
-    met = own.mapInArrow(_prefixes(common, similarity), f"token long, id {kind}, size long, at long")
+    met = sets_of(each_set()).mapInArrow(_prefixes(common, similarity), f"token long, id {kind}, size long, at long")
     met = met.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("_n > 1").drop("_n")
     met = stage(met, "near-met")
 
     def apart(met: DataFrame) -> DataFrame:
         """The rows of tokens that meet in more than one component, with a row to compare with and the first component."""
-        now = met.drop("comp").join(comps.select("id", F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        now = met.select("token", "id", "size", "at").join(comps.select("id", F.col("component").alias("comp")), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         now = stage(now.select("token", "id", "size", "at", "comp"), "near-apart")
         head = F.min(F.struct(F.xxhash64("comp").alias("x"), F.xxhash64("id", F.lit(step)).alias("y"), "id", "size", "at", "comp")).alias("head")
         tokens = stage(now.groupBy("token").agg(head, F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").drop("high"), "near-tokens")
-        return join_skewed(now, tokens, "token", "n", now.count(), F.col("id")).filter("head is not null")
+        rest = stage(join_skewed(now, tokens, "token", "n", now.count(), F.col("id")).filter("head is not null"), "near-met")
+        discard(met, now, tokens)
+        return rest
 
     for step in range(STARS):
-        met = stage(apart(met), "near-met")
+        met = apart(met)
         reach = F.least(F.col("size") - F.col("at"), F.col("head.size") - F.col("head.at")) >= F.lit(similarity / (1 + similarity)) * (F.col("size") + F.col("head.size")) - 1e-6
         stars = met.filter(F.col("comp") != F.col("head.comp")).filter(reach)
         verify(stars.groupBy("id").agg(F.min("head").alias("head")).select(F.col("id").alias("a"), F.col("head.id").alias("b")))
-        met = met.select("token", "id", "size", "at")
 
     # Tokens of the same first component go together, as mostly the same texts have them, so a text's content goes to few tasks.
     step = STARS
-    met = stage(apart(met).select("token", "id", "size", "at", "comp", "low"), "near-met")
+    met = apart(met)
     groups = max(1, met.count() // BUCKET_ROWS)
     large = stage(met.groupBy("low").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / MOST_ROWS).cast("int")).filter("blocks > 1"), "near-large")
     met = join_small(met, large.select("low", "blocks"), ["low"])
@@ -465,9 +478,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = met.withColumn("_group", F.explode(F.when(F.col("blocks").isNull(), F.array(F.pmod(F.xxhash64("low"), F.lit(groups)))).otherwise(meets)))
     met = stage(met.select("_group", "token", "id", "size", "at", "comp"), "near-grouped")
     places = stage(met.select("_group", "id").distinct(), "near-places")
-    content = places.join(content_of(stage(places.select("id").distinct(), "near-place-ids")), "id")
+    content = places.join(content_of(stage(places.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "near-place-ids")), "id")
     found = met.groupBy("_group").cogroup(content.groupBy("_group")).applyInPandas(_bucket_links(similarity), f"a {kind}, b {kind}")
-    comps = stage(components(stage(links.union(stage(found, "near-links")), "near-all-links"), "near"), "near-components")
+    comps = stage(components(links.union(stage(found, "near-links")), "near"), "near-components")
 
     table = stage(sets.join(comps, "id", "left").select("set_id", "n", F.coalesce("component", "id").alias("component_id")), "near-table")
     out = join_skewed(rows.select("id", "set_id"), table, "set_id", "n", rows.count(), F.col("id"))

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lipiflow.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, mixing, secret_scan, simhash_dedup, token_store, toxicity, vector
+from lipiflow.llm import common, decontamination, exact_dedup, language_id, license_scan, line_dedup, mixing, secret_scan, simhash_dedup, token_store, toxicity, vector
 
 RNG = random.Random(4)
 VOCABULARY = ["".join(RNG.choice("abcdefghijklmnop") for _ in range(RNG.randint(2, 7))) for _ in range(400)]
@@ -510,3 +510,29 @@ def test_near_duplicates_chain_in_one_bucket(make, monkeypatch, most_rows):
     want = joined([(a, b) for a in ids for b in ids if a < b and jaccard(texts[a], texts[b]) >= 0.8], ids)
     got = {r.doc_id: r.component_id for r in simhash_dedup.near_duplicates(make(texts)).collect()}
     assert got == want and len({want[i] for i in range(30)}) < 30
+
+
+@pytest.mark.parametrize("most", [10, 1_000_000])
+@pytest.mark.parametrize("name", [int, str])
+def test_components(spark, monkeypatch, most, name):
+    """Paths, stars and random edges, with loops and repeats, against a walk; in one task and by star steps."""
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(1000, 1060)] + [(2000, 2000 + i) for i in range(1, 50)] + [(5, 5), (7, 6), (7, 6)]
+    edges += [(rng.randrange(3000, 3200), rng.randrange(3000, 3200)) for _ in range(110)]
+    edges = [(name(a), name(b)) for a, b in edges]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for start in sorted(near):
+        todo = [] if start in want else [start]
+        while todo:
+            at = todo.pop()
+            if at not in want:
+                want[at] = start
+                todo += near[at]
+    monkeypatch.setattr(common, "FOREST_EDGES", most)
+    df = spark.createDataFrame(edges, f"a {'long' if name is int else 'string'}, b {'long' if name is int else 'string'}").repartition(3)
+    rows = common.components(df, "test").collect()
+    assert {r.id: r.component for r in rows} == {i: c for i, c in want.items() if near[i] != {i}} and len(rows) == len({r.id for r in rows})
