@@ -364,12 +364,13 @@ def _similar(least: float):
         import pyarrow as pa
 
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * (len(x) + len(y) - both) - 1e-9)
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+            for piece in pieces(batch, "x"):
+                keep = []
+                for x, y in zip(piece.column("x").to_pylist(), piece.column("y").to_pylist()):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+                yield piece.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -399,16 +400,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = named.count()
     links, comps = None, None
 
-    def sets_of(some: DataFrame) -> DataFrame:
-        return some.mapInArrow(_sets(shingle, True), f"id {kind}, n long, size long, shingles binary")
-
     def content_of(ids: DataFrame) -> DataFrame:
         """The sets of the ids in a stage table (id, n), made from their texts; no other text moves."""
         table = ids.select(F.col("id").alias("_id"), "n")
         if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-            return sets_of(texts.join(F.broadcast(table), "_id"))
-        some = marked(texts, "_id", marks(ids.select("id"), "id", "near-marks"), "_in").filter("_in").drop("_in")
-        return sets_of(some.join(table, "_id"))
+            some = texts.join(F.broadcast(table), "_id")
+        else:
+            some = marked(texts, "_id", marks(ids.select("id"), "id", "near-marks"), "_in").filter("_in").drop("_in").join(table, "_id")
+        return some.mapInArrow(_sets(shingle, True), f"id {kind}, n long, size long, shingles binary")
 
     def each_set() -> DataFrame:
         """A text of every set; beyond the broadcast bound a bitmap may let copies through, which cost time and change nothing."""
@@ -437,7 +436,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Any order of the shingles is right; with the common ones last few texts meet that aren't similar.
     part = min(1.0, COUNTED_SETS / max(1, total))
-    counted = sets_of(each_set().filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(part * 1_000_000))).mapInArrow(_count_shingles, "token long, n long")
+    make = _sets(shingle, True)  # in the worker that reads the sets, so no set leaves it and a task has one worker
+    sample = each_set().filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(part * 1_000_000))
+    counted = sample.mapInArrow(lambda batches: _count_shingles(make(batches)), "token long, n long")
     counted = stage(counted.groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1"), "near-counted")
     # The most frequent ones, as many as may be broadcast; counts are at most those of the sample.
     often = sorted(counted.groupBy("n").count().collect(), reverse=True)
@@ -447,7 +448,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys, weight = np.asarray(counted["token"].to_numpy(), np.int64).view(np.uint64), np.asarray(counted["n"].to_numpy(), np.int64)
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], weight[order]))
-    met = sets_of(each_set()).mapInArrow(_prefixes(common, similarity), f"token long, id {kind}, size long, at long")
+    first = _prefixes(common, similarity)
+    met = each_set().mapInArrow(lambda batches: first(make(batches)), f"token long, id {kind}, size long, at long")
     met = met.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("_n > 1").drop("_n")
     met = stage(met, "near-met")
 
