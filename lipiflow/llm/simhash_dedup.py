@@ -245,8 +245,29 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n_rows: int, k: int) -> tuple
     return grams[order], where[order]
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """How many shingles of a set have each value of their last bits: a power of two of cells, at most about four a cell."""
+    cells = max(CELLS, 1 << (len(own) // 4).bit_length())
+    while True:
+        counts = np.bincount((own & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+        if not len(own) or counts.max() < 256:
+            return counts.astype(np.uint8)
+        cells *= 2
+
+
+def fold(cells: np.ndarray, n: int) -> np.ndarray:
+    """A sketch's counts in only ``n`` cells."""
+    return cells.reshape(-1, n).sum(axis=0, dtype=np.int64)
+
+
+def most_shared(x: np.ndarray, y: np.ndarray) -> int:
+    """At least as many shingles as two sets share, from their sketches."""
+    n = min(len(x), len(y))
+    return int(np.minimum(fold(x, n), fold(y, n)).sum())
+
+
 def _sets(shingle: int, whole: bool):
-    """Per row (with its ``n``) its shingle set's size and the set itself (ascending hashes), or else the set's hash and SimHash."""
+    """Per row (with its ``n``) its shingle set's size and the set itself (ascending hashes), or else the set's hash, SimHash and sketch."""
 
     def run(batches):
         import pyarrow as pa
@@ -264,7 +285,8 @@ def _sets(shingle: int, whole: bool):
                 ones = [np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for x in sets]
                 fps = np.array([np.packbits(n * 2 > len(x), bitorder="little").view(np.uint64)[0] for n, x in zip(ones, sets)], np.uint64)
                 names = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
-                yield pa.RecordBatch.from_arrays([piece.column("_id"), pa.array(names.view(np.int64)), pa.array(fps.view(np.int64))], ["id", "set_id", "fp"])
+                cells = pa.array([sketch(x).tobytes() for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([piece.column("_id"), pa.array(names.view(np.int64)), pa.array(fps.view(np.int64)), cells], ["id", "set_id", "fp", "cells"])
 
     return run
 
@@ -313,6 +335,52 @@ def _prefixes(common, least: float):
     return run
 
 
+def _borders(token: np.ndarray) -> np.ndarray:
+    return np.append(np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])), len(token)) if len(token) else np.zeros(0, np.int64)
+
+
+def _candidates(least: float):
+    """(_group, id) of the sets that may be similar to one of another component which shares a token, by the bounds below and sketches.
+
+    Two sets already found so aren't looked at again, so a lump of copies costs few comparisons.
+    """
+    import pandas as pd
+
+    def run(met: pd.DataFrame, sketches: pd.DataFrame) -> pd.DataFrame:
+        cells = [np.frombuffer(x, np.uint8) for x in sketches["cells"]]
+        coarse = np.array([fold(x, CELLS) for x in cells], np.int64).reshape(-1, CELLS)
+        place = {i: n for n, i in enumerate(sketches["id"])}
+        met = met.sort_values(["token", "size"])
+        token, size, at = (met[c].to_numpy(np.int64) for c in ("token", "size", "at"))
+        who = np.array([place[i] for i in met["id"]], np.int64)
+        label = pd.factorize(met["comp"])[0]
+        wanted, failed = np.zeros(len(cells), bool), set()
+        borders = _borders(token)
+        for low, high in zip(borders, borders[1:]):
+            for i in range(low, high - 1):
+                own = int(who[i])
+                j = np.arange(i + 1, low + np.searchsorted(size[low:high], size[i] / least + 1e-9, "right"))
+                j = j[label[j] != label[i]]
+                if wanted[own]:
+                    j = j[~wanted[who[j]]]
+                need = least * (size[i] + size[j]) / (1 + least) - 1e-6
+                good = np.minimum(size[i] - at[i], size[j] - at[j]) >= need
+                j, need = j[good], need[good]
+                good = np.minimum(coarse[own], coarse[who[j]]).sum(axis=1) >= need
+                for k, enough in zip(who[j[good]].tolist(), need[good].tolist()):
+                    pair = (own, k) if own < k else (k, own)
+                    if wanted[own] and wanted[k] or pair in failed:
+                        continue
+                    if most_shared(cells[own], cells[k]) >= enough:
+                        wanted[own] = wanted[k] = True
+                    else:
+                        failed.add(pair)
+        ids = sketches["id"].to_numpy()[wanted]
+        return pd.DataFrame({"_group": np.full(len(ids), met["_group"].iloc[0] if len(met) else 0, np.int64), "id": ids})
+
+    return run
+
+
 def _bucket_links(least: float):
     """Links that join the components of all similar sets which share a token; sets already joined aren't compared.
 
@@ -331,7 +399,7 @@ def _bucket_links(least: float):
         label = np.zeros(len(sets), np.int64)
         label[who] = pd.factorize(met["comp"])[0]
         failed, links = set(), []
-        borders = np.append(np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])), len(token)) if len(token) else []
+        borders = _borders(token)
         for low, high in zip(borders, borders[1:]):
             for i in range(low, high - 1):
                 j = np.arange(i + 1, low + np.searchsorted(size[low:high], size[i] / least + 1e-9, "right"))
@@ -359,6 +427,22 @@ def _bucket_links(least: float):
     return run
 
 
+def _able(least: float):
+    """The pairs whose sketches allow them to be similar: no similar pair fails."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                keep.append(most_shared(x, y) >= least * (int(x.sum()) + int(y.sum())) / (1 + least) - 1e-6)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _similar(least: float):
     def run(batches):
         import pyarrow as pa
@@ -394,8 +478,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = stage(texts.mapInArrow(_sets(shingle, False), f"id {kind}, set_id long, fp long"), "near-rows")
-    sets = stage(rows.groupBy("set_id").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "near-sets")
+    rows = stage(texts.mapInArrow(_sets(shingle, False), f"id {kind}, set_id long, fp long, cells binary"), "near-rows")
+    sets = stage(rows.groupBy("set_id").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), F.min("cells").alias("cells"), F.count(F.lit(1)).alias("n")), "near-sets")
     named = sets.filter("id is not null")
     total = named.count()
     links, comps = None, None
@@ -416,17 +500,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             return some.join(F.broadcast(named.select(F.col("id").alias("_id")).distinct()), "_id", "left_semi")
         return marked(some, "_id", marks(named.select("id"), "id", "near-marks"), "_in").filter("_in").drop("_in")
 
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "near-ends")
+
+    def with_both(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
+        """Pairs with their ends' values x and y, from a table (id, n, value)."""
+        total = max(1, pairs.count())
+        for end, column in (("a", "x"), ("b", "y")):
+            pairs = join_skewed(pairs, table.select(F.col("id").alias(end), "n", F.col(value).alias(column)), end, "n", total, F.struct("a", "b")).drop("n")
+        return pairs
+
     def verify(pairs: DataFrame) -> None:
-        """Keeps the pairs that are similar, and joins components by them."""
+        """Keeps the pairs that are similar, and joins components by them; sets move only where sketches don't decide."""
         nonlocal links, comps
         met = stage(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
-        ends = stage(met.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")), "near-ends")
+        ends = ends_of(met)
+        drafts = stage(ends.join(named.select("id", "cells"), "id"), "near-drafts")
+        able = stage(with_both(met, drafts, "cells").mapInArrow(_able(similarity), f"a {kind}, b {kind}"), "near-able")
+        discard(met, ends, drafts)
+        ends = ends_of(able)
         content = stage(content_of(ends), "near-content")
-        pairs = met
-        for end, column in (("a", "x"), ("b", "y")):
-            pairs = join_skewed(pairs, content.select(F.col("id").alias(end), "n", F.col("shingles").alias(column)), end, "n", max(1, met.count()), F.struct("a", "b")).drop("n")
+        pairs = with_both(able, content, "shingles")
         found = stage(pairs.mapInArrow(_similar(similarity), f"a {kind}, b {kind}"), "near-links")
-        discard(met, ends, content)
+        discard(able, ends, content)
         links = found if links is None else links.union(found)
         comps = stage(components(links, "near"), "near-components")
 
@@ -480,6 +576,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = met.withColumn("_group", F.explode(F.when(F.col("blocks").isNull(), F.array(F.pmod(F.xxhash64("low"), F.lit(groups)))).otherwise(meets)))
     met = stage(met.select("_group", "token", "id", "size", "at", "comp"), "near-grouped")
     places = stage(met.select("_group", "id").distinct(), "near-places")
+    drafts = places.join(named.select("id", "cells"), "id")
+    able = met.groupBy("_group").cogroup(drafts.groupBy("_group")).applyInPandas(_candidates(similarity), f"_group long, id {kind}")
+    places = stage(able, "near-able")  # only these sets move
+    met = met.join(places, ["_group", "id"], "left_semi")
     content = places.join(content_of(stage(places.groupBy("id").agg(F.count(F.lit(1)).alias("n")), "near-place-ids")), "id")
     found = met.groupBy("_group").cogroup(content.groupBy("_group")).applyInPandas(_bucket_links(similarity), f"a {kind}, b {kind}")
     comps = stage(components(links.union(stage(found, "near-links")), "near"), "near-components")

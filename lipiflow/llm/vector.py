@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once.  A longer text is a piece of its own, always whole.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
