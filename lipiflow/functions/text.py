@@ -18,6 +18,11 @@ def u(pattern: str) -> str:
     return f"(?U){pattern}"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` names it, also inside other lambdas."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def any_of(col: Column, values: tuple[str, ...]) -> Column:
     return F.array_contains(F.array(*map(F.lit, values)), col)
 
@@ -53,8 +58,8 @@ def romanise(col: Column) -> Column:
 
 
 def looks_like_name(col: Column) -> Column:
-    w = words(col)
-    return F.size(w).between(1, 4) & F.forall(w, lambda x: F.length(x).between(2, 20)) & ~col.rlike(u(r"\d"))
+    fits = lambda w: F.size(w).between(1, 4) & F.forall(w, lambda x: F.length(x).between(2, 20))
+    return let(words(col), fits) & ~col.rlike(u(r"\d"))
 
 
 def capitalise(col: Column) -> Column:
@@ -79,10 +84,8 @@ def transliterate(col: Column) -> Column:
 
 
 def valid_name(col: Column) -> Column:
-    w = words(col)
-    return (
-        (F.length(strip(col)) >= 2)
-        & F.size(w).between(1, 4)
+    good = lambda w: (
+        F.size(w).between(1, 4)
         & ~F.forall(w, lambda x: any_of(x, L.STOP_WORDS))
         & ~F.exists(w, lambda x: any_of(x, L.NOT_IN_NAMES))
         & ~F.forall(w, lambda x: F.length(x) == 1)
@@ -91,9 +94,11 @@ def valid_name(col: Column) -> Column:
 
 def name_confidence(col: Column, method: str) -> Column:
     """Between 0.1 and 1; sums run in a fixed order, as they are of doubles."""
-    w = words(col)
-    n = F.size(w)
-    mean = F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)) / n
+    sizes = F.transform(words(col), lambda x: F.length(x))
+    return let(F.struct(F.size(sizes).alias("n"), F.aggregate(sizes, F.lit(0), lambda a, x: a + x).alias("total")), lambda w: _name_confidence(col, method, w["n"], w["total"] / w["n"]))
+
+
+def _name_confidence(col: Column, method: str, n: Column, mean: Column) -> Column:
     value = F.lit(0.7 if method == "context" else 0.5)
     value = value + F.when(n.between(2, 3), 0.15).when(n == 1, 0.05).otherwise(0.0)
     value = value + F.when(F.exists(F.array(*map(F.lit, L.NAME_INDICATORS)), lambda i: F.contains(col, i)), 0.1).otherwise(0.0)
@@ -106,24 +111,30 @@ def matches(col: Column, pattern: str) -> Column:
     found = F.regexp_extract_all(col, F.lit(u(pattern)), F.lit(0))
     gaps = F.split(col, u(pattern), -1)
     size = lambda parts, n: F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda a, x: a + F.length(x))
-    return F.transform(
-        found,
-        lambda x, i: F.struct(
-            x.alias("text"), (size(gaps, i + 1) + size(found, i)).alias("start"), (size(gaps, i + 1) + size(found, i + 1)).alias("end")
-        ),
-    )
+    span = lambda x, start: F.struct(x.alias("text"), start.alias("start"), (start + F.length(x)).alias("end"))
+    spans = lambda p: F.transform(p["found"], lambda x, i: let(size(p["gaps"], i + 1) + size(p["found"], i), lambda start: span(x, start)))
+    return let(F.struct(found.alias("found"), gaps.alias("gaps")), spans)
 
 
 def groups(col: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(col, F.lit(u(pattern)), F.lit(group))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Jaccard of the character sets without spaces; 1 if equal, 0 if one is empty."""
-    letters = lambda c: F.array_distinct(F.split(F.replace(c, F.lit(" "), F.lit("")), ""))
-    x, y = letters(a), letters(b)
-    shared = F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
-    return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(shared)
+def letters(col: Column) -> Column:
+    """A text's characters without spaces as struct(low, high, rest, n): bits for ASCII's two halves, a list of all others, and how many."""
+    plain = lambda c: F.ascii(c).between(1, 127)
+    bits = lambda cs, half: F.aggregate(cs, F.lit(0).cast("long"), lambda a, c: F.when(plain(c) & (F.shiftright(F.ascii(c), 6) == half), a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64))).otherwise(a))
+    made = lambda cs: F.struct(bits(cs, 0).alias("low"), bits(cs, 1).alias("high"), F.filter(cs, lambda c: ~plain(c)).alias("rest"), F.size(cs).alias("n"))
+    return let(F.array_distinct(F.split(F.replace(col, F.lit(" "), F.lit("")), "")), made)
+
+
+def similarity(a: Column, b: Column, x: Column | None = None, y: Column | None = None) -> Column:
+    """Jaccard of the character sets without spaces; 1 if equal, 0 if one is empty.  ``x`` and ``y`` are the texts' ``letters``, if at hand."""
+    if x is None or y is None:
+        return let(F.struct(letters(a).alias("x"), letters(b).alias("y")), lambda p: similarity(a, b, p["x"], p["y"]))
+    others = F.when((F.size(x["rest"]) == 0) | (F.size(y["rest"]) == 0), 0).otherwise(F.size(F.array_intersect(x["rest"], y["rest"])))
+    shared = F.bit_count(x["low"].bitwiseAND(y["low"])) + F.bit_count(x["high"].bitwiseAND(y["high"])) + others
+    return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(shared / (x["n"] + y["n"] - shared))
 
 
 def mime_type(name: Column) -> Column:

@@ -22,7 +22,7 @@ def _entity(text: Column, english: Column, kind: str, confidence: Column, page:
 
 
 def _names(found: Column, method: str, page: Column) -> Column:
-    made = F.transform(found, lambda m: _entity(m["name"], T.transliterate(m["name"]), "name", T.name_confidence(m["name"], method), page, m))
+    made = F.transform(found, lambda m: T.let(T.transliterate(m["name"]), lambda english: _entity(m["name"], english, "name", T.name_confidence(m["name"], method), page, m)))
     return F.filter(made, lambda e: e["english_text"] != "")
 
 
