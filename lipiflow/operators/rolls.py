@@ -45,13 +45,18 @@ def clean_name(col: Column) -> Column:
 
 def split_names(middle: Column) -> Column:
     """struct(name, father): the relative's name begins at the first word with a surname in it, else at the second."""
-    w = T.words(middle)
-    marked = F.transform(w, lambda x: F.exists(F.array(*map(F.lit, L.SURNAMES)), lambda s: F.contains(x, s)))
-    at = F.array_position(marked, True).cast("int") - 1
-    at = F.when(at < 0, 1).otherwise(at)
-    part = lambda start, n: F.array_join(F.slice(w, start, n), " ")
-    alone = F.size(w) < 2
-    return F.struct(F.when(alone, middle).otherwise(part(F.lit(1), at)).alias("name"), F.when(alone, "").otherwise(part(at + 1, F.greatest(F.size(w) - at, F.lit(0)))).alias("father"))
+
+    def halves(middle: Column, w: Column, at: Column) -> Column:
+        part = lambda start, n: F.array_join(F.slice(w, start, n), " ")
+        alone = F.size(w) < 2
+        return F.struct(F.when(alone, middle).otherwise(part(F.lit(1), at)).alias("name"), F.when(alone, "").otherwise(part(at + 1, F.greatest(F.size(w) - at, F.lit(0)))).alias("father"))
+
+    def second(w: Column) -> Column:
+        marked = F.transform(w, lambda x: F.exists(F.array(*map(F.lit, L.SURNAMES)), lambda s: F.contains(x, s)))
+        at = F.array_position(marked, True).cast("int") - 1
+        return F.when(at < 0, 1).otherwise(at)
+
+    return T.let(middle, lambda m: T.let(T.words(m), lambda w: T.let(second(w), lambda at: halves(m, w, at))))
 
 
 def _zipped(line: Column, pattern: str, fields: list[str]) -> Column:
@@ -78,9 +83,10 @@ def voters(pages: DataFrame, text_col: str = "text", *keys: str, extended: bool
     record = lambda v, house, name, father: F.struct(v["sr"].alias("sr"), house.alias("house"), name.alias("name"), father.alias("father"), v["gender"].alias("gender"), v["age"].alias("age"))
     first = F.transform(_zipped(line, strict, ["sr", "house", "name", "father", "gender", "age"]), lambda v: record(v, part(v, "house"), T.strip(v["name"]), T.strip(v["father"])))
     out = out.withColumn("_strict", _valid(F.when(F.length("_page") < 10, F.array().cast("array<struct<sr string, house string, name string, father string, gender string, age string>>")).otherwise(first)))
-    loose = F.transform(_zipped(line, fallback, ["sr", "middle", "gender", "age"]), lambda v: record(v, F.lit(""), split_names(clean_cid(v["middle"]))["name"], split_names(clean_cid(v["middle"]))["father"]))
+    loose = F.transform(_zipped(line, fallback, ["sr", "middle", "gender", "age"]), lambda v: T.let(split_names(clean_cid(v["middle"])), lambda names: record(v, F.lit(""), names["name"], names["father"])))
     chosen = F.when((F.size("_strict") > 0) | (F.length("_page") < 10), F.col("_strict")).otherwise(_valid(loose))
-    out = out.select(*keys, "_header", F.posexplode(chosen).alias("_seq", "v"))
+    # Outer, as the filter that the optimizer puts before a plain one would compute the voters twice.
+    out = out.select(*keys, "_header", F.posexplode_outer(chosen).alias("_seq", "v")).filter("v is not null")
     out = out.withColumn("voterNameHindi", clean_name(F.col("v.name"))).withColumn("fatherOrHusbandNameHindi", clean_name(F.col("v.father")))
     out = out.withColumn("voterName", transliterate_name(F.col("voterNameHindi"))).withColumn("fatherOrHusbandName", transliterate_name(F.col("fatherOrHusbandNameHindi")))
     return out.select(

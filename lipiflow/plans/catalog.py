@@ -463,10 +463,10 @@ def q32_voter_rows(spark, sf_dir):
 def q33_voter_fallback(spark, sf_dir):
     pages = roll_pages(spark, sf_dir).select("doc_id", rolls.clean_cid(F.col("text")).alias("page")).withColumn("line", rolls.clean_cid(F.col("page")))
     middle = F.arrays_zip(T.groups(F.col("line"), FALLBACK, 1).alias("sr"), T.groups(F.col("line"), FALLBACK, 2).alias("middle"), T.groups(F.col("line"), FALLBACK, 4).alias("age"))
-    rows = pages.filter("length(page) >= 10").select("doc_id", F.explode(middle).alias("x"))
     valid_strict = rolls._valid(rolls._zipped(F.col("line"), STRICT, ["sr", "house", "name", "father", "gender", "age"]))
-    none = pages.filter("length(page) >= 10").select("doc_id", F.size(valid_strict).alias("n")).filter("n = 0").select("doc_id")
-    rows = rows.join(none, "doc_id", "left_semi").select("doc_id", F.col("x.sr").alias("sr"), F.col("x.age").cast("int").alias("age"), rolls.split_names(rolls.clean_cid(F.col("x.middle"))).alias("n"))
+    # A page is a row, so its own strict voters say whether it falls back.
+    loose = F.when((F.length("page") >= 10) & (F.size(valid_strict) == 0), middle)
+    rows = pages.select("doc_id", F.explode_outer(loose).alias("x")).filter("x is not null").select("doc_id", F.col("x.sr").alias("sr"), F.col("x.age").cast("int").alias("age"), rolls.split_names(rolls.clean_cid(F.col("x.middle"))).alias("n"))
     out = rows.select("doc_id", "sr", "age", "n.name", "n.father", rolls.clean_name(F.col("n.name")).alias("clean_name"), rolls.clean_name(F.col("n.father")).alias("clean_father"))
     return out.filter("age between 18 and 120 and length(clean_name) >= 2").drop("age")
 
