@@ -6,6 +6,7 @@ pattern, as ``trim`` knows spaces only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -75,7 +76,7 @@ def tidy_romanised(col: Column) -> Column:
         out = F.regexp_replace(out, rf"(?iU){double}\b", double[0])
     for mark in L.MARKS:
         out = F.replace(out, F.lit(mark), F.lit(""))
-    return F.when(looks_like_name(out), capitalise(out)).otherwise(out)
+    return let(out, lambda x: F.when(looks_like_name(x), capitalise(x)).otherwise(x))
 
 
 def transliterate(col: Column) -> Column:
@@ -90,6 +91,7 @@ def valid_name(col: Column) -> Column:
         & ~F.exists(w, lambda x: any_of(x, L.NOT_IN_NAMES))
         & ~F.forall(w, lambda x: F.length(x) == 1)
     )
+    return (F.length(strip(col)) >= 2) & let(words(col), good)
 
 
 def name_confidence(col: Column, method: str) -> Column:

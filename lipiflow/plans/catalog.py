@@ -13,9 +13,12 @@ from lipiflow.operators import entities, extraction, rolls, tracking
 from lipiflow.plans import duck as D
 from lipiflow.plans.corpus import corpus, corpus_sql, rolls_sql
 from lipiflow.plans.corpus import rolls as roll_pages
+from lipiflow.plans.parts import parts as task_parts
 from lipiflow.schemas import STATUSES
 from lipiflow.sources import sinks
 
+#: Parts of a group that meet in one place.
+PAIR_BLOCK = 4_000
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 NOW = "2024-06-01 12:00:00"
 STAMP = "2024-06-01T12:00:00"
@@ -143,9 +146,16 @@ def like(a: str, b: str) -> str:
 
 @query(f"SELECT a.p_partkey AS a, b.p_partkey AS b, {like('a.p_name', 'b.p_name')} AS similarity FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey")
 def q09_similarity_pairs(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    b = p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("other"), "p_brand", "p_size")
-    return p.join(b, ["p_brand", "p_size"]).filter("p_partkey < b").select(F.col("p_partkey").alias("a"), "b", T.similarity(F.col("p_name"), F.col("other")).alias("similarity"))
+    # A group of many parts is dealt into blocks, and every two blocks meet in a place of their own; letters are found once a part.
+    n, key = task_parts(spark), ["p_brand", "p_size"]
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", *key)
+    blocks = p.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).cast("int").alias("blocks"))
+    p = p.repartition(n, "p_partkey").withColumn("letters", T.letters(F.col("p_name"))).join(blocks, key).withColumn("own", F.pmod(F.xxhash64("p_partkey"), F.col("blocks")).cast("int"))
+    p = p.select(*key, "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("meets"), "p_partkey", "p_name", "letters")
+    place = [*key, "_i", "_j"]
+    a = p.select(*key, F.col("own").alias("_i"), F.col("meets").alias("_j"), F.col("p_partkey").alias("a"), F.col("p_name").alias("name"), F.col("letters").alias("x")).repartition(n, *place)
+    b = p.select(*key, F.col("meets").alias("_i"), F.col("own").alias("_j"), F.col("p_partkey").alias("b"), F.col("p_name").alias("other"), F.col("letters").alias("y")).repartition(n, *place)
+    return a.join(b, place).filter("a < b").select("a", "b", T.similarity(F.col("name"), F.col("other"), F.col("x"), F.col("y")).alias("similarity"))
 
 
 @query(f"""WITH RECURSIVE {ENTITIES}, o AS (
