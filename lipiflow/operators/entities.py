@@ -59,17 +59,20 @@ def greedy_unique(entities: Column, threshold: float = 0.8, within_type: bool =
     """Entities in order, each dropped if an accepted one is as similar; a surer one replaces that and goes last."""
 
     def like(u: Column, e: Column) -> Column:
-        near = T.similarity(u["english_lowercase"], e["english_lowercase"]) >= threshold
-        return near & (u["entity_type"] == e["entity_type"]) if within_type else near
+        near = T.similarity(u["e"]["english_lowercase"], e["e"]["english_lowercase"], u["letters"], e["letters"]) >= threshold
+        return near & (u["e"]["entity_type"] == e["e"]["entity_type"]) if within_type else near
 
     def step(kept: Column, e: Column) -> Column:
-        hits = F.transform(kept, lambda u: like(u, e))
-        at = F.array_position(hits, True).cast("int")
-        better = e["confidence"] > F.get(kept, at - 1)["confidence"]
-        without = F.filter(kept, lambda u, j: j != at - 1)
-        return F.when(at == 0, F.concat(kept, F.array(e))).when(better, F.concat(without, F.array(e))).otherwise(kept)
+        def placed(at: Column) -> Column:
+            better = e["e"]["confidence"] > F.get(kept, at - 1)["e"]["confidence"]
+            without = F.filter(kept, lambda u, j: j != at - 1)
+            return F.when(at == 0, F.concat(kept, F.array(e))).when(better, F.concat(without, F.array(e))).otherwise(kept)
 
-    return F.aggregate(entities, F.filter(entities, lambda e: F.lit(False)), step)
+        return T.let(F.array_position(F.transform(kept, lambda u: like(u, e)), True).cast("int"), placed)
+
+    known = F.transform(entities, lambda e: F.struct(e.alias("e"), T.letters(e["english_lowercase"]).alias("letters")))
+    kept = T.let(known, lambda all_: F.aggregate(all_, F.filter(all_, lambda e: F.lit(False)), step))
+    return F.transform(kept, lambda x: x["e"])
 
 
 def file_entities(extracted: DataFrame, file_col: str = "file_id", page_col: str = "page_number", threshold: float = 0.8, within_type: bool = False) -> DataFrame:
@@ -182,17 +185,34 @@ def processing_summary(extracted: DataFrame) -> DataFrame:
 
 def file_summary(extracted: DataFrame, filename: Column, at: Column) -> DataFrame:
     """(Metric, Value): totals, confidences and times of all pages, then a count per entity type."""
-    pages = extracted.select(filename.alias("f"), at.alias("at"), "entities")
-    whole = pages.agg(
-        F.coalesce(F.nullif(F.min("f"), F.lit("")), F.lit("unknown")).alias("filename"),
-        F.count(F.lit(1)).alias("total_pages"),
-        F.count_if(F.size("entities") > 0).alias("pages_with_entities"),
-        F.coalesce(F.sum(F.size("entities")), F.lit(0)).alias("total_entities"),
-        F.coalesce(F.date_format(F.min("at"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("")).alias("earliest_processing"),
-        F.coalesce(F.date_format(F.max("at"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("")).alias("latest_processing"),
+    # Entities are dear, so all metrics come from one pass: a row per type, then one row.
+    ents = extracted.select(filename.alias("f"), at.alias("at"), F.posexplode_outer("entities").alias("nth", "e"))
+    kinds = ents.groupBy(F.col("e.entity_type").alias("kind")).agg(
+        F.min("f").alias("f"),
+        F.min("at").alias("first"),
+        F.max("at").alias("last"),
+        F.count_if(F.coalesce("nth", F.lit(0)) == 0).alias("pages"),
+        F.count_if(F.col("nth") == 0).alias("filled"),
+        F.count("e").alias("n"),
+        F.sum("e.confidence").alias("sum"),
+        F.min("e.confidence").alias("min"),
+        F.max("e.confidence").alias("max"),
     )
-    ents = pages.select(_each("entities").alias("e")).filter("e is not null")
-    sure = ents.select(F.col("e.confidence").alias("c")).agg(*[F.coalesce(F.bround(f("c"), 3), F.lit(0.0)).alias(f"{name}_confidence") for name, f in (("average", F.avg), ("min", F.min), ("max", F.max))])
-    kinds = ents.groupBy("e.entity_type").agg(F.count(F.lit(1)).cast("string").alias("Value")).select(F.concat("entity_type", F.lit("_count")).alias("Metric"), "Value")
-    strings = lambda df: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).unpivot([], df.columns, "Metric", "Value")
-    return strings(whole).union(strings(sure)).union(kinds).select(T.title(F.col("Metric")).alias("Metric"), "Value")
+    moment = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(""))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    sure = lambda c: F.coalesce(F.bround(c, 3), F.lit(0.0))
+    metrics = {
+        "filename": F.coalesce(F.nullif(F.min("f"), F.lit("")), F.lit("unknown")),
+        "total_pages": total("pages"),
+        "pages_with_entities": total("filled"),
+        "total_entities": total("n"),
+        "earliest_processing": moment(F.min("first")),
+        "latest_processing": moment(F.max("last")),
+        "average_confidence": sure(F.sum("sum") / F.nullif(F.sum("n"), F.lit(0))),
+        "min_confidence": sure(F.min("min")),
+        "max_confidence": sure(F.max("max")),
+    }
+    row = lambda name, value: F.struct(name.alias("Metric"), value.cast("string").alias("Value"))
+    whole = kinds.agg(*[m.alias(name) for name, m in metrics.items()], F.collect_list(F.when(F.col("n") > 0, row(F.concat("kind", F.lit("_count")), F.col("n")))).alias("kinds"))
+    rows = whole.select(F.explode(F.concat(F.array(*[row(F.lit(name), F.col(name)) for name in metrics]), F.col("kinds"))).alias("m"))
+    return rows.select(T.title(F.col("m.Metric")).alias("Metric"), F.col("m.Value").alias("Value"))
