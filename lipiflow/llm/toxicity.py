@@ -40,10 +40,6 @@ MOST_FOLDS = 64
 #: A count beyond what the pooled counts explain stands if its log-likelihood under them (Poisson's, by
 #: Chernoff's bound) is below minus this many times the logarithm of the number of words.
 SURE = 0.75
-#: The words before a word fall into this many sets of 64 groups; marks of the groups tell how many there are.
-SETS = 16
-#: Sets with fewer empty groups count as having so many: nearer to full, marks tell numbers too badly.
-EMPTY = 8
 #: Labelled rows that the probability is fitted on; of more, those with the smallest hash of their id.
 MOST_FITTED = 200_000
 #: Expressions with evidence that are broadcast at once (28 bytes each).
@@ -54,7 +50,6 @@ START = np.uint64(0x5851F42D4C957F2D)  # the word before a text
 #: Models of all labelled texts, and for each part of them the models without it.
 PARTS = 4
 MODELS = ("all", *[f"no{k}" for k in range(PARTS)])
-MARKS = [f"m{k}" for k in range(PARTS)]
 
 
 def held_out(id_col: str) -> Column:
@@ -77,23 +72,23 @@ def lefts(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 class ContextCounter:
-    """Per word, fold, part and set: marks of the words before it, and texts."""
+    """The distinct words before each word by slot (fold and part), and texts."""
 
     def __init__(self, most: int = 1 << 20):
         self.most, self.parts, self.size = most, [], 0
 
-    def add(self, w, slot, mark, texts) -> None:
-        self.parts.append(self._grouped(w, slot, mark, texts))
+    def add(self, w, slot, left, texts) -> None:
+        self.parts.append(self._grouped(w, slot, left, texts))
         self.size += len(self.parts[-1][0])
 
     @staticmethod
-    def _grouped(w, slot, mark, texts):
+    def _grouped(w, slot, left, texts):
         if not len(w):
-            return w, slot, mark, texts
-        order = np.lexsort((slot, w))
-        w, slot = w[order], slot[order]
-        at = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (slot[1:] != slot[:-1])]))
-        return w[at], slot[at], np.bitwise_or.reduceat(mark[order], at), np.add.reduceat(texts[order], at)
+            return w, slot, left, texts
+        order = np.lexsort((left, slot, w))
+        w, slot, left = w[order], slot[order], left[order]
+        at = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (slot[1:] != slot[:-1]) | (left[1:] != left[:-1])]))
+        return w[at], slot[at], left[at], np.add.reduceat(texts[order], at)
 
     def merge(self) -> None:
         if len(self.parts) > 1:
@@ -113,44 +108,52 @@ class ContextCounter:
 
 
 def _count_contexts(batches):
+    """A row per word and slot: the distinct words before it, and how many texts hold it."""
     import pyarrow as pa
 
     counts = ContextCounter()
 
     def out():
-        w, slot, mark, texts = counts.take()
-        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(slot), pa.array(mark.view(np.int64)), pa.array(texts)], ["w", "slot", "mark", "texts"])
+        w, slot, left, texts = counts.take()
+        new = np.ones(len(w), bool)
+        new[1:] = (w[1:] != w[:-1]) | (slot[1:] != slot[:-1])
+        at = np.flatnonzero(new)
+        sums = np.add.reduceat(texts, at) if len(at) else texts
+        lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(w)).astype(np.int32)), pa.array(left.view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(w[at].view(np.int64)), pa.array(slot[at]), lists, pa.array(sums)], ["w", "slot", "lefts", "texts"])
 
     for batch in batches:
         for piece in pieces(batch, "_text"):
             hashes, rows, *_ = words(piece.column("_text"))
-            group = mix(lefts(hashes, rows))
-            mark = np.uint64(1) << (group & np.uint64(63))
             fold, part = (piece.column(c).to_numpy()[rows].astype(np.int32) for c in ("_fold", "_part"))
-            slot = (fold * PARTS + part) * SETS + (group >> np.uint64(6) & np.uint64(SETS - 1)).astype(np.int32)
             order = np.lexsort((rows, hashes))
             first = np.ones(len(order), bool)  # of its word in its text
             first[1:] = (hashes[order][1:] != hashes[order][:-1]) | (rows[order][1:] != rows[order][:-1])
-            counts.add(hashes[order], slot[order], mark[order], first.astype(np.int64))
+            counts.add(hashes[order], (fold * PARTS + part)[order], lefts(hashes, rows)[order], first.astype(np.int64))
             if counts.full():
                 yield out()
     yield out()
 
 
 def _contexts(mask: Column) -> Column:
-    """How many distinct words leave these marks in 64 groups (linear counting)."""
-    empty = F.greatest(64 - F.bit_count(mask), F.lit(EMPTY))
+    """How many distinct words leave these marks in 64 groups (linear counting); an estimate that no count rests on any more."""
+    empty = F.greatest(64 - F.bit_count(mask), F.lit(8))
     return F.round(F.log(F.lit(64.0) / empty) * 64, 2)
 
 
 def counted(texts: DataFrame) -> DataFrame:
-    """A row per word of LEAST texts: w, and for each model and class (t, p) the sum over folds of its contexts, from (_text, _fold, _part)."""
-    rows = texts.select("_text", "_fold", "_part").mapInArrow(_count_contexts, "w long, slot int, mark long, texts long")
-    rows = rows.repartition("w").select("w", F.expr(f"slot div {PARTS * SETS}").alias("fold"), F.pmod(F.expr(f"slot div {SETS}"), F.lit(PARTS)).alias("part"), F.pmod("slot", F.lit(SETS)).alias("s"), "mark", "texts")
-    rows = rows.groupBy("w", "fold", "s").agg(*[F.bit_or(F.when(F.col("part") == k, F.col("mark")).otherwise(0)).alias(m) for k, m in enumerate(MARKS)], F.sum("texts").alias("texts"))
-    joint = [" | ".join(m for k, m in enumerate(MARKS) if k != part) for part in (None, *range(PARTS))]
-    sums = [F.sum(F.when(own, _contexts(F.expr(x))).otherwise(0.0)).alias(f"{c}_{m}") for m, x in zip(MODELS, joint) for c, own in (("t", F.col("fold") == 0), ("p", F.col("fold") > 0))]
-    words = rows.groupBy("w").agg(F.sum("texts").alias("texts"), *sums)
+    """A row per word of LEAST texts: w, and for each model and class (t, p) the sum over folds of its distinct contexts, from (_text, _fold, _part).
+
+    A word's contexts all meet in one task, where every pair of words is counted once for each fold and set of parts.
+    """
+    rows = texts.select("_text", "_fold", "_part").mapInArrow(_count_contexts, "w long, slot int, lefts array<long>, texts long")
+    rows = rows.repartition("w").select("w", "slot", "texts", F.posexplode("lefts").alias("at", "left"))
+    bit = F.call_function("shiftleft", F.lit(1), F.pmod("slot", F.lit(PARTS)))
+    pairs = rows.groupBy("w", F.expr(f"slot div {PARTS}").alias("fold"), "left").agg(F.bit_or(bit).alias("parts"), F.sum(F.when(F.col("at") == 0, F.col("texts")).otherwise(0)).alias("texts"))
+    every = (1 << PARTS) - 1
+    within = (every, *[every ^ 1 << k for k in range(PARTS)])
+    sums = [F.count_if(own & (F.col("parts").bitwiseAND(x) != 0)).cast("double").alias(f"{c}_{m}") for m, x in zip(MODELS, within) for c, own in (("t", F.col("fold") == 0), ("p", F.col("fold") > 0))]
+    words = pairs.groupBy("w").agg(F.sum("texts").alias("texts"), *sums)
     return stage(words.filter(F.col("texts") >= LEAST).drop("texts"), "toxic-words")
 
 
