@@ -35,7 +35,7 @@ END_ID = 2
 #: but has LEAST to MOST ids.
 WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 1024
 #: Words (in each of two generations) and stems whose ids a Python worker remembers, and chunks a task knows it has emitted.
-WORDS_KEPT, STEMS_KEPT = 1_000_000, 1_500_000
+WORDS_KEPT, STEMS_KEPT = 400_000, 400_000
 CHUNKS_KEPT = 200_000
 #: Plain and accented Latin letters, without U+0130, whose small form is two characters.
 LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F"
@@ -87,14 +87,16 @@ class Encoder:
         small = {ord(c) for code in range(0xC0, 0x250) for c in chr(code).lower()}
         return {c: split.pre_tokenize_str(chr(c))[0][0] for c in small if c > 0x7F}
 
-    def stem(self, stem: str) -> bytes:
-        """Ids of a lowered part of a word."""
-        found = self.stems.get(stem)
+    def stem(self, stem: str, keep: bool = True) -> bytes:
+        """Ids of a lowered part of a word; not kept here if the word is that part, as it is among the words known."""
+        found = self.stems.get(stem) or self.known.get(stem)
         if found is None:
-            if len(self.stems) > STEMS_KEPT:
-                self.stems.clear()
             letters = stem if stem.isascii() else stem.translate(self.letters)
-            found = self.stems[stem] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if keep:
+                if len(self.stems) > STEMS_KEPT:
+                    self.stems.clear()
+                self.stems[stem] = found
         return found
 
     def word(self, word: str) -> bytes:
@@ -105,7 +107,8 @@ class Encoder:
         if rest:
             return b"".join(map(self.stem, self.split(word.lower())))
         if not marks:
-            return self.stem(front.lower()) if front else b""
+            low = front.lower()
+            return self.stem(low, low != word) if front else b""
         return self.stem(front.lower()) + self.stem(marks) if front else self.stem(marks)
 
     def text(self, text: str) -> bytes:
