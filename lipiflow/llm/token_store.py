@@ -34,9 +34,12 @@ END_ID = 2
 #: A chunk ends where the rolling hash of the last WINDOW ids is in the lowest MEAN-th of its range,
 #: but has LEAST to MOST ids.
 WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 1024
-#: Words (in each of two generations) and stems whose ids a Python worker remembers, and chunks a task knows it has emitted.
-WORDS_KEPT, STEMS_KEPT = 400_000, 400_000
-CHUNKS_KEPT = 200_000
+#: Words (in each of two generations) and stems whose ids a Python worker remembers, the letters of the longest such word,
+#: and chunks a task knows it has emitted.
+WORDS_KEPT, STEMS_KEPT, LETTERS_KEPT = 200_000, 50_000, 40
+CHUNKS_KEPT = 50_000
+#: Bytes of text whose words are looked up at a time (one longer text is alone), and rows and bytes of a batch a worker gives back.
+BYTES_IN, ROWS_OUT, BYTES_OUT = 4 << 20, 1_000, 1 << 20
 #: Plain and accented Latin letters, without U+0130, whose small form is two characters.
 LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F"
 #: A plain word, of such letters and ASCII characters: letters, punctuation without an apostrophe, and the rest.
@@ -59,6 +62,8 @@ class Encoder:
     word of ASCII characters and accented Latin letters stays as normalisation
     leaves it but for its case, so it is lowered and split here, and its parts go
     to the tokenizer's BPE model; every other word takes the whole tokenizer.
+    Arrow tells the words of many texts apart, and then the parts of these, so
+    only different parts and different other words are looked up.
     """
 
     def __init__(self, path: str):
@@ -71,9 +76,10 @@ class Encoder:
         self.stems: dict[str, bytes] = {}
         self.letters = self._bytes_of_letters()
         # Fixed value: such a tokenizer's split of a plain word; each part goes to the model on its own.
-        self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}\u0250-\uFFFF]+|[0-9]|[^0-9{LETTERS}\u0250-\uFFFF]+").findall
+        self.parts = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}\u0250-\uFFFF]+|[0-9]|[^0-9{LETTERS}\u0250-\uFFFF]+"
+        self.split = re.compile(self.parts).findall
         # Tokens that the tokenizer looks for before anything else, in their own case.
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokens = added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) if added else "(?!)").search
         # Such a tokenizer marks word ends, lowers letters and drops white space.
         self.by_word = getattr(self.model, "end_of_word_suffix", None) == "</w>" and self.tokenizer.normalizer.normalize_str(" A\n") == " a "
@@ -87,19 +93,24 @@ class Encoder:
         small = {ord(c) for code in range(0xC0, 0x250) for c in chr(code).lower()}
         return {c: split.pre_tokenize_str(chr(c))[0][0] for c in small if c > 0x7F}
 
-    def stem(self, stem: str, keep: bool = True) -> bytes:
-        """Ids of a lowered part of a word; not kept here if the word is that part, as it is among the words known."""
+    def merged(self, stem: str) -> bytes:
+        """Ids of a lowered part of a word by the model."""
+        return array("I", [t.id for t in self.model.tokenize(stem if stem.isascii() else stem.translate(self.letters))]).tobytes()
+
+    def stem(self, stem: str) -> bytes:
+        """The same, remembered."""
         found = self.stems.get(stem) or self.known.get(stem)
         if found is None:
-            letters = stem if stem.isascii() else stem.translate(self.letters)
-            found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            if keep:
+            found = self.merged(stem)
+            if len(stem) <= LETTERS_KEPT:
                 if len(self.stems) > STEMS_KEPT:
                     self.stems.clear()
                 self.stems[stem] = found
         return found
 
     def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha() and word.islower():
+            return self.merged(word)
         found = PLAIN(word)
         front, marks, rest = found.groups() if found else ("", "", word)
         if not found or (marks or rest) and self.added(word):
@@ -107,30 +118,66 @@ class Encoder:
         if rest:
             return b"".join(map(self.stem, self.split(word.lower())))
         if not marks:
-            low = front.lower()
-            return self.stem(low, low != word) if front else b""
+            low = front.lower()  # a small word is remembered among the words known
+            return (self.merged(low) if low == word else self.stem(low)) if front else b""
         return self.stem(front.lower()) + self.stem(marks) if front else self.stem(marks)
 
-    def text(self, text: str) -> bytes:
-        """Ids of a text as unsigned 32-bit numbers."""
+    def batch(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of an Arrow array of texts one after another, and where those of each end.  Null counts as empty."""
+        import pyarrow.compute as pc
+
+        texts = texts.fill_null("")
         if not self.by_word:
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if text.isascii():  # nothing to compose, so letters may be lowered first
-            low = text.lower()
-            text = text if self.added(low) else low
-        return b"".join([*map(self.known.__getitem__, text.replace("\n", " ").split(" "))])
+            found = [array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() for t in texts.to_pylist()]
+            return _joined(found)
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        return _taken(*self._words(coded.dictionary), coded.indices, words)
+
+    def _words(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """The same for an Arrow array of words."""
+        import pyarrow.compute as pc
+
+        plain = pc.match_substring_regex(words, f"^[!-~{LETTERS}]*$")
+        for token in self.tokens:
+            plain = pc.and_not(plain, pc.match_substring(words, token))
+        cut = pc.utf8_rtrim(pc.replace_substring_regex(pc.utf8_lower(words), self.parts, "\\0 "), " ")
+        parts = pc.split_pattern(pc.if_else(plain, cut, words), " ")
+        coded = parts.flatten().dictionary_encode()
+        found = [*map(self.known.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist())]
+        return _taken(*_joined(found), coded.indices, parts)
 
     def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.text(text), np.uint32)
+        import pyarrow as pa
+
+        return self.batch(pa.array([text], pa.string()))[0]
+
+
+def _joined(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Unsigned 32-bit numbers from their bytes, one list after another, and where each list ends."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.frombuffer(b"".join(found), np.uint32), np.cumsum(sizes // 4)
+
+
+def _taken(values: np.ndarray, ends: np.ndarray, places, lists) -> tuple[np.ndarray, np.ndarray]:
+    """Of such lists, those at ``places`` one after another, and where each of ``lists`` of places ends (none is empty)."""
+    at = places.to_numpy()
+    taken = np.diff(ends, prepend=0)[at]
+    after = np.cumsum(taken)
+    from_ = np.repeat(ends[at] - after, taken)
+    from_ += np.arange(len(from_))
+    return values[from_], after[lists.offsets.to_numpy()[1:] - 1]
 
 
 class _Words(dict):
-    """Ids of words met so far; a word not met is encoded.  Beyond WORDS_KEPT words only those met again stay."""
+    """Ids of words met so far; a word not met is encoded.  Beyond WORDS_KEPT words only those met again stay, and none of over LETTERS_KEPT letters."""
 
     def __init__(self, encode):
         self.encode, self.older = encode, {}
 
     def __missing__(self, word: str) -> bytes:
+        if len(word) > LETTERS_KEPT:
+            return self.encode(word)
         if len(self) > WORDS_KEPT:
             self.older = dict(self)
             self.clear()
@@ -182,14 +229,37 @@ def merkle(hashes: list[bytes]) -> bytes:
 STAGED = "kind string, _deal long, _id {id}, n int, width int, hashes array<binary>, data binary"
 
 
+def _slices(batch):
+    """A batch in pieces of about BYTES_IN of text: a batch may hold hundreds of MB, and its words are many times as large."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False)
+    whole = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = whole[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(whole, before + BYTES_IN, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def _encoder(path: str) -> Encoder:
+    """The encoder of this worker, kept from task to task.
+
+    A function of the module, as Spark sends functions made within others with
+    copies of what they name: a dict named there would be new in every task.
+    """
+    if path not in _worker:
+        _worker[path] = Encoder(path)
+        gc.freeze()  # the collector needn't look through the remembered words again and again
+    return _worker[path]
+
+
 def _encode(path: str):
     def run(batches):
         import pyarrow as pa
 
-        if path not in _worker:
-            _worker[path] = Encoder(path)
-            gc.freeze()  # the collector needn't look through a million remembered words again and again
-        encoder = _worker[path]
+        encoder = _encoder(path)
         seen: set[bytes] = set()
         end = np.array([END_ID], np.uint32)
 
@@ -197,10 +267,15 @@ def _encode(path: str):
             kind, deal, ids, n, width, hashes, data = zip(*rows)
             return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(deal, pa.int64()), pa.array(ids, ids_type), pa.array(n, pa.int32()), pa.array(width, pa.int32()), pa.array(hashes, pa.list_(pa.binary())), pa.array(data, pa.binary())], ["kind", "_deal", "_id", "n", "width", "hashes", "data"])
 
+        def encoded(batch):
+            for few in _slices(batch):
+                ids, ends = encoder.batch(few.column("_text"))
+                yield from zip(few.column("_id").to_pylist(), np.split(ids, ends[:-1]))
+
         for batch in batches:
-            ids_type, rows = batch.column("_id").type, []
-            for doc_id, text in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist()):
-                ids = np.concatenate([encoder.ids(text or ""), end])
+            ids_type, rows, held = batch.column("_id").type, [], 0
+            for doc_id, ids in encoded(batch):
+                ids = np.concatenate([ids, end])
                 at, hashes = 0, []
                 for stop in cut(ids):
                     part = ids[at:stop]
@@ -213,13 +288,14 @@ def _encode(path: str):
                             seen.clear()
                         seen.add(key)
                         rows.append(("chunk", int.from_bytes(key[:8], "little", signed=True), None, stop - at, width, [key], raw))
+                        held += len(raw)
                     at = stop
                 root = merkle(hashes)
                 deal = int.from_bytes(address(root + str(doc_id).encode())[:8], "little", signed=True)
                 rows.append(("recipe", deal, doc_id, len(ids), 0, hashes, root))
-                if len(rows) > 4000:
+                if len(rows) > ROWS_OUT or held > BYTES_OUT:
                     yield out(rows)
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield out(rows)
 
